@@ -9,20 +9,40 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .exact_dedup import exact_dedup
 from .secret_scan import secret_scan
+from .simhash_dedup import simhash_dedup
+from .topk_search import topk_search
+
+
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search(read_table(spark, sf_dir, "embeddings"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(read_table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_exact_dedup, op9_secret_scan)}
-
-
+    return {f.__name__: f for f in (op5_topk_search, op6_exact_dedup, op8_simhash_dedup, op9_secret_scan)}
+
+
+OP5_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, d.vec_id as vec_id, cast(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v d on q.vec_id % 20 = 0 and d.vec_id <> q.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
+"""
 OP6_SQL = r"""
 with t as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm from documents)
 select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size,
@@ -32,4 +52,4 @@ from t window w as (partition by norm)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op5_topk_search": OP5_SQL, "op6_exact_dedup": OP6_SQL}
