@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .exact_dedup import exact_dedup
+from .piece_bpe import encode_decode
 from .secret_scan import secret_scan
 from .simhash_dedup import simhash_dedup
 from .topk_search import topk_search
+from .url_filter import url_filter
 
 
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +24,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -29,8 +36,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(read_table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied")
 
 
+def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_topk_search, op6_exact_dedup, op8_simhash_dedup, op9_secret_scan)}
+    return {f.__name__: f for f in (op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
 
 
 OP5_SQL = """
