@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .exact_dedup import exact_dedup
+from .packing import pack
 from .piece_bpe import encode_decode
 from .secret_scan import secret_scan
 from .simhash_dedup import simhash_dedup
@@ -16,6 +17,10 @@ from .topk_search import topk_search
 from .url_filter import url_filter
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search(read_table(spark, sf_dir, "embeddings"))
 
@@ -41,7 +46,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
+    return {f.__name__: f for f in (op4_packing, op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
 
 
 OP5_SQL = """
