@@ -11,12 +11,17 @@ from .common import read_table
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .piece_bpe import encode_decode
+from .quality import classify
 from .secret_scan import secret_scan
 from .simhash_dedup import simhash_dedup
 from .topk_search import topk_search
 from .url_filter import url_filter
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -46,7 +51,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_packing, op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
+    return {f.__name__: f for f in (op1_quality, op4_packing, op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
 
 
 OP5_SQL = """
