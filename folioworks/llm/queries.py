@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read_table
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .piece_bpe import encode_decode
 from .quality import classify
+from .repeated_spans import repeated_spans
 from .secret_scan import secret_scan
 from .simhash_dedup import simhash_dedup
 from .topk_search import topk_search
@@ -22,6 +24,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(read_table(spark, sf_dir, "documents"), with_text=False)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -51,7 +59,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op4_packing, op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
+    return {f.__name__: f for f in (op1_quality, op3_repeated_spans, op4_packing, op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
 
 
 OP5_SQL = """
