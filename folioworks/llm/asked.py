@@ -68,20 +68,23 @@ class BlockTable:
         drop_scratch(self.spark, self.path)
 
 
+def buckets_for(docs: DataFrame) -> int:
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+
+
 def text_blocks(docs: DataFrame, id_col: str, text_col: str) -> BlockTable:
-    spark = docs.sparkSession
     texts = doc_texts(docs, id_col, text_col).select(F.spark_partition_id().cast("long").alias("task"), "doc_id", "text")
     rows = texts.mapInArrow(blocks_of, "home long, seq int, ids array<long>, sizes array<long>, text binary")
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
-    return BlockTable(rows, buckets, "texts")
+    return BlockTable(rows, buckets_for(docs), "texts")
 
 
 def parts_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return ((keys >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+    """Part of each key; parts are ranges, so keys in order are in order of part."""
+    return ((keys >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
 
 
 def question(keys: np.ndarray, more: np.ndarray, home: int, seq: int, parts: int) -> Iterator[tuple]:
-    """Rows of ASKED from keys in order of part (see in_order); more has extra data of each key."""
+    """Rows of ASKED from keys in order; more has extra data of each key."""
     part = parts_of(keys, parts)
     cuts = np.searchsorted(part, np.arange(parts + 1))
     for p in np.flatnonzero(np.diff(cuts)):
@@ -89,27 +92,31 @@ def question(keys: np.ndarray, more: np.ndarray, home: int, seq: int, parts: int
         yield int(p), home, seq, keys[some].tobytes(), more[some].tobytes()
 
 
-def in_order(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Order of keys by part and then by key."""
-    return np.lexsort((keys, parts_of(keys, parts)))
-
-
 def answers_for(row_answers: list[dict] | None, kind: int, seq: int) -> list[bytes]:
     """The answers of a kind to a block, in order of part."""
     mine = [(a["part"], a["data"]) for a in row_answers or [] if a["kind"] == kind and a["seq"] == seq]
     return [d for _, d in sorted(mine)]
 
 
-def answered(asked: str, spark: SparkSession, work: Callable[[list[bytes], list[bytes]], list[bytes]], kind: int, name: str) -> str:
-    """Let each key partition work on its rows: lists of keys and more to a list of answers. Returns the answers' path."""
+def answered(asked: DataFrame, work: Callable[[list[bytes], list[bytes]], list[bytes] | tuple[list[bytes], bytes]], kind: int, name: str) -> str:
+    """Let each key partition work on its rows: lists of keys and more to a list of answers, and maybe to a part of
+    the corpus-wide statistics, which is kept under home -1. Returns the path of the answers."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["home", "seq"])
         data = work(pdf["keys"].tolist(), pdf["more"].tolist())
-        return pd.DataFrame({"kind": kind, "home": pdf.home, "seq": pdf.seq, "part": pdf.part, "data": data})
+        data, stats = data if isinstance(data, tuple) else (data, None)
+        out = pd.DataFrame({"kind": kind, "home": pdf.home, "seq": pdf.seq, "part": pdf.part, "data": data})
+        if stats is None:
+            return out
+        return pd.concat([out, pd.DataFrame({"kind": kind, "home": -1, "seq": -1, "part": pdf.part.iloc[:1], "data": [stats]})])
+
+    return write_scratch(asked.groupBy("part").applyInPandas(run, ANSWER), name)
+
 
-    rows = spark.read.schema(ASKED).parquet(asked) if isinstance(asked, str) else asked
-    return write_scratch(rows.groupBy("part").applyInPandas(run, ANSWER), name)
+def statistics(spark: SparkSession, path: str) -> list[bytes]:
+    """The statistics of each key partition: one small row from each."""
+    return [bytes(r.data) for r in spark.read.schema(ANSWER).parquet(path).where("home = -1").orderBy("part").select("data").collect()]
 
 
 def asked_by(blocks: DataFrame, ask: Callable[[dict], Iterator[tuple]]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .exact_dedup import exact_dedup
+from .katz_lm import score_texts
 from .packing import pack
 from .piece_bpe import encode_decode
 from .quality import classify
@@ -24,6 +25,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op3_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_spans(read_table(spark, sf_dir, "documents"), with_text=False)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
@@ -59,7 +64,7 @@ def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_repeated_spans, op4_packing, op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
+    return {f.__name__: f for f in (op1_quality, op2_katz_lm, op3_repeated_spans, op4_packing, op5_topk_search, op6_exact_dedup, op7_url_filter, op8_simhash_dedup, op9_secret_scan, op10_piece_bpe)}
 
 
 OP5_SQL = """

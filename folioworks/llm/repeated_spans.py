@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .asked import answered, answers_for, asked_by, in_order, parts_of, question, text_blocks
+from .asked import answered, answers_for, asked_by, parts_of, question, text_blocks
 from .common import partitions_for
 
 TRIGGER = 8
@@ -69,7 +69,7 @@ class Parsed:
         text, digest = self.text, xxhash.xxh3_64_intdigest
         hashes = np.fromiter((digest(text[a:b]) for a, b in zip(self.at[whole].tolist(), (self.at[whole + 1] + TRIGGER).tolist(), strict=True)), np.uint64, len(whole))
         self.whole = whole
-        order = in_order(hashes, parts)
+        order = np.argsort(hashes, kind="stable")
         sorted_hashes = hashes[order]
         new = np.concatenate([[True], sorted_hashes[1:] != sorted_hashes[:-1]]) if len(order) else np.zeros(0, bool)
         self.distinct = sorted_hashes[new]
@@ -109,7 +109,7 @@ class Parsed:
         sides = list(zip(self.first.tolist(), self.end.tolist(), self.a.tolist(), self.b.tolist(), strict=True))
         core = np.fromiter((digest(text[t[i] : t[j] + TRIGGER]) for _, _, i, j in sides), np.uint64, len(sides))
         cover = np.fromiter((digest(text[x : y - 1 + length], t[i] - x) for x, y, i, _ in sides), np.uint64, len(sides))
-        order = np.lexsort((cover, core, parts_of(core, self.parts)))
+        order = np.lexsort((cover, core))
         core, cover = core[order], cover[order]
         new = np.concatenate([[True], (core[1:] != core[:-1]) | (cover[1:] != cover[:-1])]) if len(order) else np.zeros(0, bool)
         rank = np.cumsum(new) - 1
@@ -134,7 +134,7 @@ class Parsed:
         self.string_at = np.concatenate([np.arange(x, y) for x, y in spans]) if spans else np.zeros(0, np.int64)
         raw = b"".join([digest(text[i : i + length]) for i in self.string_at.tolist()])
         pair = np.frombuffer(raw, "<u8").reshape(-1, 2)
-        order = np.lexsort((pair[:, 1], pair[:, 0], parts_of(pair[:, 0], self.parts)))
+        order = np.lexsort((pair[:, 1], pair[:, 0]))
         pair = pair[order]
         new = np.concatenate([[True], (pair[1:] != pair[:-1]).any(1)]) if len(order) else np.zeros(0, bool)
         rank = np.cumsum(new) - 1
@@ -245,7 +245,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     paths: list[str] = []
     for kind, (name, work) in enumerate((("ask_phrases", twice_or_more), ("ask_segments", judge_segments), ("ask_strings", judge_strings))):
         rows = asked_by(table.with_answers(*paths), ask(name))
-        paths.append(answered(rows, spark, work, kind, name))
+        paths.append(answered(rows, work, kind, name))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()), ("kept_sha256", pa.string())])
