@@ -61,14 +61,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that decisions (of exact_dedup) keep, with docs' own columns.
 
-    A semi join on the id settles all ids whose rows are all kept, so their texts are not shuffled. Ids of several
-    rows with different decisions are rare; among those rows alone the digest says which to keep.
+    An anti join takes out the ids of which not all rows stay, hashing the ids and sorting no text. Ids of several
+    rows with different decisions are rare; among those rows alone the digest says which one stays.
     """
     ids = decisions.groupBy(F.col("doc_id").alias("fw_id")).agg(F.count("*").alias("fw_rows"), F.sum(F.col("kept").cast("int")).alias("fw_keep"))
-    single = ids.where("fw_rows = fw_keep").select("fw_id")
-    mixed = ids.where("fw_keep > 0 and fw_keep < fw_rows").select("fw_id")
-    whole = docs.join(single, docs[id_col].cast("long").eqNullSafe(single["fw_id"]), "left_semi")
-    held = docs.join(mixed, docs[id_col].cast("long").eqNullSafe(mixed["fw_id"]), "left_semi")
+    ids = through_scratch(ids.where("fw_keep < fw_rows"), "dropped-ids")
+    id_of = docs[id_col].cast("long")
+    whole = docs.join(ids.hint("shuffle_hash"), id_of.eqNullSafe(ids["fw_id"]), "left_anti")
+    mixed = ids.where("fw_keep > 0")
+    if mixed.isEmpty():
+        return whole
+    held = docs.join(mixed.hint("shuffle_hash"), id_of.eqNullSafe(mixed["fw_id"]), "left_semi")
     held = held.withColumn("fw_sha", F.sha2(F.regexp_replace(text_or_empty(held, text_col), WHITE_SPACE, " ").cast("binary"), 256))
     chosen = decisions.where("kept").select(F.col("doc_id").alias("fw_id"), F.col("text_sha256").alias("fw_kept_sha"))
     held = held.join(chosen, held[id_col].cast("long").eqNullSafe(chosen["fw_id"]) & (held["fw_sha"] == chosen["fw_kept_sha"]), "left_semi")

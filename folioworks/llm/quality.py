@@ -199,3 +199,25 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = fit(docs, labels, id_col, text_col, sample, held_mod)
     scored = doc_texts(docs, id_col, text_col).mapInArrow(scorer(model), "doc_id long, score double")
     return scored.select("doc_id", (crc_mod("doc_id", held_mod) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3, sample: int = 4000, held_mod: int = 5) -> DataFrame:
+    """The rows of docs, with its own columns, whose text scores at least threshold. No row is shuffled."""
+    model = fit(docs, labels, id_col, text_col, sample, held_mod)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(text_col).cast(pa.binary()).to_pylist()]
+            good: list[np.ndarray] = []
+            at = 0
+            while at < len(texts):  # pieces of bounded size, a longer text alone
+                end, held = at + 1, len(texts[at])
+                while end < len(texts) and held + len(texts[end]) <= PIECE:
+                    held += len(texts[end])
+                    end += 1
+                good.append(np.full(end - at, model) if isinstance(model, float) else score(model, texts[at:end]))
+                at = end
+            if good:
+                yield batch.filter(pa.array(np.concatenate(good) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

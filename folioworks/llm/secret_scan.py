@@ -85,7 +85,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
     shapes = [*BASE, ("live", CANDIDATE, 0, 20)]
     parts = [F.coalesce(F.when(w, found(text, pattern, group, least, k)), none).cast(SPANS) for k, (w, (_, pattern, group, least)) in enumerate(zip(worth, shapes, strict=True))]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"), docs[repo_col].cast("string").alias("repo"), docs[owner_col].cast("string").alias("owner"), text_or_empty(docs, text_col).alias("t"))
-    rows = rows.select("row", "doc_id", "repo", "owner", F.array_sort(F.concat(*parts[:3])).alias("base"), parts[3].alias("more"))
+    rows = rows.select("row", "doc_id", "repo", "owner", F.xxhash64("t").alias("text_hash"), F.array_sort(F.concat(*parts[:3])).alias("base"), parts[3].alias("more"))
     clash = lambda x: F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
     mixed = lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]")
     return rows.withColumn("more", F.filter("more", lambda x: mixed(x) & ~clash(x)))
@@ -116,10 +116,10 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.array_sort(F.collect_list(F.when((F.col("x.kind") == 3) & F.col("live"), F.col("x")))).alias("added"),
         F.count_if((F.col("x.kind") < 3) & F.col("live")).alias("n_live"), F.count_if((F.col("x.kind") < 3) & F.col("live").isNull()).alias("n_copied"),
     )
-    out = spans.select("row", "doc_id", "base").join(judged, "row", "left").withColumn("added", F.coalesce("added", F.array().cast(SPANS)))
+    out = spans.select("row", "doc_id", "text_hash", "base").join(judged, "row", "left").withColumn("added", F.coalesce("added", F.array().cast(SPANS)))
     counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
     return out.select(
-        "row", "doc_id", *counts, F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        "row", "doc_id", "text_hash", *counts, F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         written(F.array_sort(F.concat("base", "added"))).alias("spans"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
         F.transform(F.array_sort(F.concat("base", "added")), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("places"),
@@ -138,3 +138,17 @@ def redact(text: Column, places: Column, mark: str = "[SECRET]") -> Column:
         )
 
     return F.aggregate(places, begin, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", max_owners: int = 2) -> DataFrame:
+    """docs with all base spans and live spans of its texts replaced; length_col, if there, follows the text."""
+    found = secret_scan(docs, id_col, text_col, id_col, "source" if "source" in docs.columns else id_col, max_owners).where(F.size("places") > 0)
+    found = found.groupBy(F.col("doc_id").alias("fw_id"), F.col("text_hash").alias("fw_hash")).agg(F.any_value("places").alias("fw_places"))
+    same = docs[id_col].cast("long").eqNullSafe(found["fw_id"]) & (F.xxhash64(text_or_empty(docs, text_col)) == found["fw_hash"])
+    out = docs.join(found.hint("shuffle_hash"), same, "left")
+    clean = F.when(F.col("fw_places").isNull(), F.col(text_col)).otherwise(redact(F.col(text_col), F.col("fw_places")))
+    out = out.withColumn(text_col, clean)
+    if length_col in docs.columns:
+        changed = F.when(F.col("fw_places").isNull(), F.col(length_col)).otherwise(F.length(text_col))
+        out = out.withColumn(length_col, changed.cast(docs.schema[length_col].dataType))
+    return out.select(*docs.columns)

@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import doc_texts, through_scratch
@@ -104,8 +104,8 @@ def links(prints: DataFrame, distance: int = 2, hot: int = 64) -> DataFrame:
     return near.unionByName(far).distinct()
 
 
-def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 3, distance: int = 2, hot: int = 64) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id (the smallest doc_id that links reach) for each row."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, n_words: int, distance: int, hot: int) -> DataFrame:
+    """doc_id, fp, root (a fingerprint that names the component) and component_id of each row."""
     prints = through_scratch(doc_texts(docs, id_col, text_col).mapInArrow(fingerprinter(n_words), "doc_id long, fp long"), "simhash")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     # Components are found among fingerprints; their nodes are the fingerprints themselves.
@@ -113,6 +113,41 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = classes.join(found, classes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = through_scratch(rooted, "simhash-roots")
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(ids, "root").select("fp", "component_id")
-    out = prints.join(by_print, "fp")
+    return prints.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp")
+
+
+def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 3, distance: int = 2, hot: int = 64) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id (the smallest doc_id that links reach) for each row."""
+    out = grouped(docs, id_col, text_col, n_words, distance, hot)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 3, distance: int = 2, hot: int = 64) -> DataFrame:
+    """The rows of docs, with its own columns, of which one of each component stays: that of the smallest id.
+
+    Ids that stand in several rows are settled among those rows alone, where the fingerprint names the component.
+    """
+    decisions = through_scratch(grouped(docs, id_col, text_col, n_words, distance, hot), "simhash-decisions")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = decisions.groupBy(F.col("doc_id").alias("fw_id")).agg(F.count("*").alias("fw_rows"), F.count_if(stays).alias("fw_keep"))
+    ids = through_scratch(ids.where("fw_keep = 0 or fw_rows > 1"), "dropped-ids")
+    id_of = docs[id_col].cast("long")
+    whole = docs.join(ids.hint("shuffle_hash"), id_of.eqNullSafe(ids["fw_id"]), "left_anti")
+    mixed = ids.where("fw_keep > 0")
+    if mixed.isEmpty():
+        return whole
+    held = docs.join(mixed.hint("shuffle_hash"), id_of.eqNullSafe(mixed["fw_id"]), "left_semi")
+    held = held.withColumns({"fw_id": held[id_col].cast("long"), "fw_text": F.coalesce(held[text_col].cast("string"), F.lit(""))})
+
+    def with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("fw_text").cast(pa.binary())
+            prints = np.fromiter((simhash(t.as_py(), n_words) for t in texts), np.uint64, len(texts)).view(np.int64)
+            yield batch.append_column("fw_print", pa.array(prints, pa.int64()))
+
+    held = held.mapInArrow(with_print, held.schema.add("fw_print", "long"))
+    roots = decisions.where(stays).select(F.col("doc_id").alias("d"), "fp", "root").distinct()
+    held = held.join(roots, held["fw_id"].eqNullSafe(roots["d"]) & (held["fw_print"] == roots["fp"]))
+    place = Window.partitionBy("root").orderBy(F.length("fw_text"), "fw_text")
+    held = held.withColumn("fw_place", F.row_number().over(place)).where("fw_place = 1")
+    return whole.unionByName(held.select(*docs.columns))
