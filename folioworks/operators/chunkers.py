@@ -17,9 +17,8 @@ def listed(make: Callable[..., list[str]]) -> Callable[..., Column]:
     """An Arrow function of columns to an array of strings; null gives an empty array."""
 
     @F.pandas_udf("array<string>")
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for columns in batches:
-            yield pd.Series([make(*row) if all(x is not None for x in row) else [] for row in zip(*columns, strict=True)], dtype=object)
+    def run(*columns: pd.Series) -> pd.Series:
+        return pd.Series([make(*row) if all(x is not None for x in row) else [] for row in zip(*columns, strict=True)], dtype=object)
 
     return run
 
