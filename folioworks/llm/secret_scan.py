@@ -104,6 +104,11 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def of_kind(kind: int) -> Column:
+    """Number of base spans of a kind."""
+    return F.size(F.filter("base", lambda x: x["kind"] == kind))
+
+
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", max_owners: int = 2) -> DataFrame:
     """One row per row of docs: doc_id, base and added spans, and how many base values look live or copied.
 
@@ -117,7 +122,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count_if((F.col("x.kind") < 3) & F.col("live")).alias("n_live"), F.count_if((F.col("x.kind") < 3) & F.col("live").isNull()).alias("n_copied"),
     )
     out = spans.select("row", "doc_id", "text_hash", "base").join(judged, "row", "left").withColumn("added", F.coalesce("added", F.array().cast(SPANS)))
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
+    counts = [of_kind(k).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
     return out.select(
         "row", "doc_id", "text_hash", *counts, F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         written(F.array_sort(F.concat("base", "added"))).alias("spans"),
