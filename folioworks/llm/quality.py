@@ -40,12 +40,13 @@ def fresh(seed: int = 7) -> Model:
 
 
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one array of byte numbers, each padded to whole cells; and the number of cells of each."""
+    """All texts in one array of byte numbers, each in whole cells; and the number of cells of each. A filter's width of
+    padding comes before each text and after the last one, so no filter sees two texts."""
     cells = np.array([(len(t) + WIDTH + CELL - 1) // CELL for t in texts])
     line = np.full(int(cells.sum()) * CELL + WIDTH, PAD, np.uint16)
     at = 0
     for t, c in zip(texts, cells.tolist(), strict=True):
-        line[at : at + len(t)] = np.frombuffer(t, np.uint8)
+        line[at + WIDTH : at + WIDTH + len(t)] = np.frombuffer(t, np.uint8)
         at += c * CELL
     return line, cells
 
