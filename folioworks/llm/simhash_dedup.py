@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import doc_texts, through_scratch
 from .graph import components
@@ -145,7 +146,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             prints = np.fromiter((simhash(t.as_py(), n_words) for t in texts), np.uint64, len(texts)).view(np.int64)
             yield batch.append_column("fw_print", pa.array(prints, pa.int64()))
 
-    held = held.mapInArrow(with_print, held.schema.add("fw_print", "long"))
+    held = held.mapInArrow(with_print, T.StructType([*held.schema.fields, T.StructField("fw_print", T.LongType())]))
     roots = decisions.where(stays).select(F.col("doc_id").alias("d"), "fp", "root").distinct()
     held = held.join(roots, held["fw_id"].eqNullSafe(roots["d"]) & (held["fw_print"] == roots["fp"]))
     place = Window.partitionBy("root").orderBy(F.length("fw_text"), "fw_text")
