@@ -35,7 +35,7 @@ from .common import crc_mod, doc_texts, partitions_for, text_batches
 K = 5
 #: No word has a space, so this stands for the end of a document.
 END = b" "
-CODED_BYTES = 16 << 20
+CODED_BYTES = 6 << 20
 WORDS, PAIRS, CONTEXTS = range(3)
 
 
