@@ -48,7 +48,7 @@ def clean_pages(text: Column) -> Column:
 def fix_text_spacing(text: Column) -> Column:
     """Put back spaces that page extraction lost, by four rules in order."""
     # The rules.
-    rules = [(r"([a-z])([A-Z])", "$1 $2"), (r"(\p{Nd})([A-Z][a-z])", "$1 $2"), (rf"([a-z])(\p{{Nd}}+)([A-Z{WS[1:-1]}])", "$1 $2 $3"), (r"([.!?])([A-Z])", "$1 $2")]
+    rules = [(r"([a-z])([A-Z])", "$1 $2"), (r"(\p{Nd})([A-Z][a-z])", "$1 $2"), (rf"([a-z])(\p{{Nd}}+)([A-Z{WS[1:-1]}])", "$1 $2$3"), (r"([.!?])([A-Z])", "$1 $2")]
     for pattern, put in rules:
         text = F.regexp_replace(text, pattern, put)
     return text

@@ -114,7 +114,7 @@ def register_all(spark: SparkSession) -> None:
     spark.udf.register("recursive_chunks", listed(lambda t, n, o: scalar.recursive_chunks(t, int(n), int(o))))
     spark.udf.register("fixed_chunks", listed(lambda t, n, o: scalar.fixed_chunks(t, int(n), int(o))))
 
-    schema = T.StructType().add("chunk_no", "int").add("chunk", "string")
+    schema = T.StructType().add("chunk_no", T.IntegerType()).add("chunk", T.StringType())
 
     class ChunkFixed:
         def eval(self, text: str, size: int):  # noqa: ANN201

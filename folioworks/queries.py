@@ -100,7 +100,7 @@ def clean_pages(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     rf"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(text, '. ', '.'), ' ([A-Z])', '\1', 'g'),
-      '([a-z])([A-Z])', '\1 \2', 'g'), '(\d)([A-Z][a-z])', '\1 \2', 'g'), '([a-z])(\d+)([A-Z{WS[1:-1]}])', '\1 \2 \3', 'g'), '([.!?])([A-Z])', '\1 \2', 'g') as fixed from documents"""
+      '([a-z])([A-Z])', '\1 \2', 'g'), '(\d)([A-Z][a-z])', '\1 \2', 'g'), '([a-z])(\d+)([A-Z{WS[1:-1]}])', '\1 \2\3', 'g'), '([.!?])([A-Z])', '\1 \2', 'g') as fixed from documents"""
 )
 def fix_text_spacing(spark: SparkSession, d: str) -> DataFrame:
     broken = F.regexp_replace(F.replace("text", F.lit(". "), F.lit(".")), " ([A-Z])", "$1")

@@ -34,13 +34,13 @@ def with_content(rows: DataFrame, file_type: str, tables: Column) -> DataFrame:
 
 def read_txt(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """Text files, with newlines as in Unix."""
-    rows = spark.read.option("pathGlobFilter", glob).option("wholetext", True).text(path)
+    rows = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     return with_content(rows.select(F.col("_metadata.file_path").alias("path"), unix_lines(F.col("value")).alias("text")), "txt", F.array().cast("array<string>"))
 
 
 def read_md(spark: SparkSession, path: str, glob: str = "*.md") -> DataFrame:
     """Markdown files with their pipe tables."""
-    rows = spark.read.option("pathGlobFilter", glob).option("wholetext", True).text(path)
+    rows = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     return with_content(rows.select(F.col("_metadata.file_path").alias("path"), unix_lines(F.col("value")).alias("text")), "md", md_tables(F.col("text")))
 
 
