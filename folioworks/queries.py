@@ -450,15 +450,16 @@ def guided_pdf_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 # Search.
 
-BM25 = f"""toks as (select doc_id, len({TOKENS}) as length, unnest({TOKENS}) as term from documents),
-tf as (select doc_id, term, count(*) as tf, any_value(length) as length from toks group by all),
-stat as (select count(*) as n, sum(len({TOKENS})) / count(*) as mean_length from documents),
-raw as (select term, ln(n - count(*) + 0.5) - ln(count(*) + 0.5) as raw from tf, stat group by term, n),
-idf as (select term, case when raw < 0 then 0.25 * (select avg(raw) from raw) else raw end as idf from raw)"""
+BM25 = f"""listed as materialized (select doc_id, {TOKENS} as tokens from documents),
+toks as (select doc_id, len(tokens) as length, unnest(tokens) as term from listed),
+tf as materialized (select doc_id, term, count(*) as tf, any_value(length) as length from toks group by all),
+stat as materialized (select count(*) as n, sum(len(tokens)) / count(*) as mean_length from listed),
+raw as materialized (select term, ln(n - count(*) + 0.5) - ln(count(*) + 0.5) as raw from tf, stat group by term, n),
+idf as materialized (select term, case when raw < 0 then 0.25 * (select avg(raw) from raw) else raw end as idf from raw)"""
 SCORES = f"""{BM25},
-asked as (select query_id, term, count(*) as times from (select query_id, unnest({TOKENS}) as term from q) group by all),
-scores as (select query_id, doc_id as doc, sum(times * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / mean_length))) as score from asked join idf using (term) join tf using (term), stat group by all),
-filled as (select * from scores union all select query_id, doc_id, 0 from q, documents where not exists (from scores s where s.query_id = q.query_id and s.doc = documents.doc_id)),
+asked as materialized (select query_id, term, count(*) as times from (select query_id, unnest({TOKENS}) as term from q) group by all),
+scores as materialized (select query_id, doc_id as doc, sum(times * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / mean_length))) as score from asked join idf using (term) join tf using (term), stat group by all),
+filled as (select * from scores union all select p.query_id, p.doc_id, 0 from (select query_id, doc_id from q, documents) p anti join scores s on s.query_id = p.query_id and s.doc = p.doc_id),
 keyword as (select *, row_number() over (partition by query_id order by round(score, 9) desc, doc) as rank from filled)"""
 
 
