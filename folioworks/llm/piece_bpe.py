@@ -1,8 +1,8 @@
 """SentencePiece BPE encoding by backtracking, and decoding.
 
 A text becomes segments: a run of space marks with what follows, up to the next mark. No piece of such a model has a
-mark after another character, so merges never cross segments, and segments can be encoded (and remembered) alone. In a
-segment an Aho-Corasick automaton over the pieces gives every piece at every place. The encoder takes the longest one,
+mark after another character, nor a newline, so merges never cross segments or lines, and segments can be encoded (and
+remembered) alone. In a segment an Aho-Corasick automaton over the pieces gives every piece at every place. The encoder takes the longest one,
 and goes on from its end; a piece may follow another only if re-merging the two by the model's scores gives just these
 two back. If no piece fits, the end is marked in a bitfield of failed positions and the encoder steps back to the next
 shorter piece. Since the encoding is the only sequence whose neighbours all fit, the first one found is it.
@@ -29,7 +29,7 @@ from .common import doc_texts
 
 MARK = "▁"
 SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-KEEP_SEGMENTS, KEEP_PAIRS, KEEP_LENGTH = 700_000, 1_000_000, 48
+KEEP_SEGMENTS, KEEP_PAIRS, KEEP_LENGTH = 1_200_000, 1_000_000, 48
 
 
 class PieceEncoder:
@@ -53,7 +53,9 @@ class PieceEncoder:
         self.width = np.dtype("<u2" if n <= 1 << 16 else "<u4")
         self.written = [str(i) for i in range(n)]
         self.pairs: dict[int, bool] = {}
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # segments that begin with one space mark, by what follows it
+        self.bare: dict[str, bytes] = {}  # beginnings of lines
+        self.line_end = None if any("\n" in p for p in self.pieces) else self.packed(self.segment("\n"))
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Merge neighbours, the best score first and of equal ones the leftmost, until none forms a piece."""
@@ -122,20 +124,40 @@ class PieceEncoder:
                 last, k = stack[-1][2] if stack else -1, k - 1
         return [piece for _, _, piece in stack]
 
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.width).tobytes()
+
+    def remembered(self, store: dict[str, bytes], mark: str, words: list[str]) -> bytes:
+        """Packed ids of the segments mark + word."""
+        try:
+            return b"".join(map(store.__getitem__, words))
+        except KeyError:
+            pass
+        parts = []
+        for w in words:
+            got = store.get(w)
+            if got is None:
+                got = self.packed(self.segment(mark + w))
+                if len(w) <= KEEP_LENGTH:
+                    if len(store) >= KEEP_SEGMENTS:
+                        store.clear()
+                    store[w] = got
+            parts.append(got)
+        return b"".join(parts)
+
     def encoded(self, text: str) -> list[int]:
         """Ids of a whole text."""
         if not text:
             return []
-        known, parts = self.known, []
-        for s in SEGMENT.findall(MARK + text.replace(" ", MARK)):
-            got = known.get(s)
-            if got is None:
-                got = np.array(self.segment(s), self.width).tobytes()
-                if len(s) <= KEEP_LENGTH:
-                    if len(known) >= KEEP_SEGMENTS:
-                        known.clear()
-                    known[s] = got
-            parts.append(got)
+        if self.line_end is None or MARK in text or "  " in text or text[0] == " ":
+            parts = [self.packed(self.segment(s)) for s in SEGMENT.findall(MARK + text.replace(" ", MARK))]
+        else:  # one space before each word, and no piece has a newline: words and beginnings of lines are segments
+            parts = []
+            for i, line in enumerate(text.split("\n")):
+                words = line.split(" ")
+                if i:
+                    parts += [self.line_end, self.remembered(self.bare, "", words[:1])]
+                parts.append(self.remembered(self.known, MARK, words[1:] if i else words))
         return np.frombuffer(b"".join(parts), self.width).tolist()
 
     def ids_digest(self, ids: list[int]) -> str:
