@@ -44,28 +44,35 @@ def word_pattern() -> re.Pattern[str]:
 class WordTokenizer:
     """Ids of a tokenizer file of lower-cased words, as packed little-endian 16- or 32-bit numbers."""
 
-    def __init__(self, file: str, keep: int = 700_000) -> None:
+    def __init__(self, file: str, keep: int = 1_200_000) -> None:
         self.tokenizer = Tokenizer.from_file(file)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words = word_pattern().findall
+        self.parts = word_pattern().findall
         self.known: dict[str, bytes] = {}
         self.keep = keep
 
     def learn(self, words: set[str]) -> None:
-        """Encode new words, in one text with spaces between them."""
-        listed = list(words)
-        got = self.tokenizer.encode(" ".join(listed), add_special_tokens=False)
+        """Ids of new words (without white space). Their parts are what the tokenizer treats alone, so parts that are not
+        known yet are encoded, in one text with spaces between them, and words are put together."""
+        known = self.known
+        split = [(w, self.parts(w)) for w in words]
+        new = list({p for _, parts in split for p in parts if p not in known})
+        got = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
         ids, index = np.array(got.ids, self.width), np.array(got.word_ids, np.int64)
-        cuts = np.searchsorted(index, np.arange(len(listed) + 1))
-        if len(index) and index[-1] != len(listed) - 1:
+        if len(index) and index[-1] != len(new) - 1:
             raise ValueError("the tokenizer splits words otherwise")
-        for w, a, b in zip(listed, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            self.known[w] = ids[a:b].tobytes()
+        cuts = np.searchsorted(index, np.arange(len(new) + 1)).tolist()
+        packed, size = ids.tobytes(), self.width.itemsize
+        for p, a, b in zip(new, cuts[:-1], cuts[1:], strict=True):
+            known[p] = packed[a * size : b * size]
+        for w, parts in split:
+            if len(parts) > 1:
+                known[w] = b"".join([known[p] for p in parts])
 
     def ids(self, text: str) -> bytes:
         if NOT_PLAIN.search(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
-        words = self.words(text.lower())
+        words = text.lower().split()
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
