@@ -459,7 +459,22 @@ def cluster_mean_sim(spark: SparkSession, d: str) -> DataFrame:
     return semantic.mean_similarity(series(spark, d), ["label"]).withColumn("mean", F.round("mean", 6))
 
 
-@query()
+@query(
+    """with recursive v as (select label, row_number() over (partition by label order by vec_id) - 1 as i, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings),
+    u as (select label, i, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) as v from v),
+    m as (select a.label, avg(list_dot_product(a.v, b.v)) as mean from u a join u b on a.label = b.label and a.i < b.i group by a.label),
+    near as (select a.label, a.i, b.i as j, list_dot_product(a.v, b.v) - mean as s from u a join u b on a.label = b.label and b.i > a.i and b.i < a.i + 8 join m on m.label = a.label),
+    bounds as (select a.label, a.i as first, b.i as last from u a join u b on a.label = b.label and b.i >= a.i and b.i < a.i + 8),
+    reward as materialized (select b.label, b.first, b.last, coalesce(sum(2 * s), 0) as reward from bounds b left join near n on n.label = b.label and n.i >= b.first and n.j <= b.last group by all),
+    dp as (select distinct label, -1 as i, cast([] as double[]) as best, cast([] as bigint[]) as start from u
+      union all
+      select d.label, d.i + 1, list_append(d.best, greatest(0, max(g))), list_append(d.start, case when max(g) > 1e-12 then arg_max(first, g) else 0 end)
+      from (select d.label, d.i, d.best, d.start, r.first, r.reward + case when r.first > 0 then d.best[r.first] else 0 end as g from dp d join reward r on r.label = d.label and r.last = d.i + 1) d group by d.label, d.i, d.best, d.start),
+    full_ as (select label, start, i from dp where i = (select max(i) from u where u.label = dp.label)),
+    walk as (select label, start, start[i + 1] as first, i as last, 0 as k from full_
+      union all select label, start, start[first], first - 1, k + 1 from walk where first > 0)
+    select label, cast(row_number() over (partition by label order by k desc) - 1 as integer) as segment, cast(first as integer) as first, cast(last as integer) as last from walk"""
+)
 def cluster_segments(spark: SparkSession, d: str) -> DataFrame:
     return semantic.cluster_segments(series(spark, d), ["label"], "vec_id", 8)
 
@@ -474,14 +489,34 @@ def guided_text_chunks(spark: SparkSession, d: str) -> DataFrame:
     return guided.guided_chunks(documents(spark, d))
 
 
-@query()
+def guided_sql(sections: str, table: str, header: str, clean: Callable[[str], str], columns: str, tail: str) -> str:
+    """Chunks that the offline boundary model makes: a cut at every fourth sentence but the last."""
+    sentences = SENTENCES.replace("text", "content")
+    line = "chr(10) || chr(10)"
+    return f"""with {sections},
+    sec as (select *, {header} as header, {sentences} as s from {table}),
+    cut as (select *, len(s) as n, case when len(s) > 3 then list_filter(range(4, len(s), 4), lambda x: x < len(s) - 1) else [] end as cuts from sec),
+    part as (select *, unnest(range(1, len(cuts) + 2)) as part, list_concat([0], cuts, [n]) as b from cut where n > 2 and len(cuts) > 0),
+    kept as (select * exclude (b), {clean(f"header || {line} || array_to_string(s[b[part] + 1 : b[part + 1]], ' ')")} as chunk from part),
+    good as (select * from kept where length(chunk) >= 50),
+    both_ as (
+      select {columns}, n > 2 as split_by_llm, case when n > 2 then 'no_split_needed' else '' end as llm_decision, {clean(f"header || {line} || content")} as chunk, 0 as chunk_part from cut where n <= 2 or len(cuts) = 0
+      union all select {columns}, true, '', chunk, cast(part as integer) from good
+      union all select {columns}, true, 'fallback', header || {line} || content, 0 from cut c where n > 2 and len(cuts) > 0 and not exists (from good g where g.doc_id = c.doc_id and g.section_no = c.section_no))
+    select *, cast(row_number() over (partition by doc_id order by section_no, chunk_part) - 1 as integer) as chunk_no{tail} from both_ where length(chunk) >= 50"""
+
+
+NO_NULLS = {"chunk_part": 0, "llm_decision": "", "sub_chunk_part": 0, "split_reason": ""}
+
+
+@query(guided_sql(MD_SECTIONS, "md_sections", MD_HEADER, clean_sql, "doc_id, section_no, level, title, parent", ", 0 as sub_chunk_part, '' as split_reason"))
 def guided_md_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return guided.guided_md_chunks(md_sections(spark, d))
+    return guided.guided_md_chunks(md_sections(spark, d)).fillna(NO_NULLS)
 
 
-@query()
+@query(guided_sql(PDF_SECTIONS, "pdf_sections", "'[Section: ' || title || ']'", clean_pages_sql, "doc_id, section_no, title, page_start, true_page", ""))
 def guided_pdf_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return guided.guided_pdf_chunks(pdf_sections(spark, d))
+    return guided.guided_pdf_chunks(pdf_sections(spark, d)).fillna({c: NO_NULLS[c] for c in ("chunk_part", "llm_decision")})
 
 
 # Search.
