@@ -62,21 +62,27 @@ def overlap_prefix(chunks: DataFrame, overlap: int, keys: Sequence[str] = ("doc_
     return chunks.withColumn("before", before).withColumn("chunk", run("before", "chunk")).drop("before")
 
 
+def in_parts(whole: Column, is_whole: Column, parts: Column) -> Column:
+    """array<struct<part, chunk>>: one without a number if is_whole, else the parts, numbered from 1."""
+    alone = F.array(F.struct(F.lit(None).cast("int").alias("part"), whole.alias("chunk")))
+    return F.when(is_whole, alone).otherwise(F.transform(parts, lambda c, i: F.struct((i + 1).cast("int").alias("part"), c.alias("chunk"))))
+
+
 def section_chunks(sections: DataFrame, header: Column, most: int, paged: bool, keys: Sequence[str], count: scalar.Count = scalar.quarter) -> DataFrame:
     """Chunks of sections below their header: a section that fits is one chunk, others are packed by paragraphs with
-    one repeated, and by sentences. Chunks shorter than 50 characters are dropped after numbering. Sections that fit
-    never reach Python."""
+    one repeated, and by sentences. Chunks shorter than 50 characters are dropped after numbering. Only the texts of
+    sections that do not fit go to Python, and what comes before is worked out once."""
     clean = clean_pages if paged else clean_content
-    top = sections.withColumn("header", header)
-    fits = token_count(F.col("header")) + token_count(F.col("content")) <= most
-    whole = top.where(fits).withColumn("chunk", clean(F.concat("header", F.lit("\n\n"), F.col("content"))))
-    whole = whole.withColumns({"is_split": F.lit(False), "chunk_part": F.lit(None).cast("int")})
     pack = listed(lambda h, c: scalar.packed(h, c, most, True, paged, count))
-    split = top.where(~fits).withColumn("chunks", pack("header", "content"))
-    split = split.select(*top.columns, F.posexplode("chunks").alias("part", "chunk")).withColumns({"is_split": F.lit(True), "chunk_part": (F.col("part") + 1).cast("int")}).drop("part")
-    both = whole.unionByName(split).where(F.length("chunk") >= MIN_CHARS).drop("content", "header")
+    rows = sections.withColumn("header", header)
+    rows = rows.withColumn("fits", token_count(F.col("header")) + token_count(F.col("content")) <= most)
+    rows = rows.withColumn("parts", pack(F.when(~F.col("fits"), F.col("header")), F.when(~F.col("fits"), F.col("content"))))
+    whole = clean(F.concat("header", F.lit("\n\n"), F.col("content")))
+    rows = rows.withColumn("p", F.explode(in_parts(whole, F.col("fits"), F.col("parts"))))
+    rows = rows.withColumns({"chunk": F.col("p.chunk"), "is_split": ~F.col("fits"), "chunk_part": F.col("p.part")})
+    rows = rows.where(F.length("chunk") >= MIN_CHARS).drop("content", "header", "fits", "parts", "p")
     number = F.row_number().over(Window.partitionBy(*keys).orderBy("section_no", F.coalesce("chunk_part", F.lit(0)))) - 1
-    return both.withColumns({"chunk_no": number, "tokens": token_count(F.col("chunk"))})
+    return rows.withColumns({"chunk_no": number, "tokens": token_count(F.col("chunk"))})
 
 
 def context_md_chunks(sections: DataFrame, most: int = 512, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -94,19 +100,16 @@ def split_oversized(chunks: DataFrame, header: Column, keys: Sequence[str] = ("d
 
     Others stay as they are. A chunk that is large by its bytes alone stays whole, as parts are counted in tokens.
     """
-    out = chunks.withColumn("header", header)
-    large = oversize(F.col("chunk"))
-    fits = out.where(~large).withColumns({"sub_chunk_part": F.lit(None).cast("int"), "split_reason": F.lit(None).cast("string")})
+    rows = chunks.withColumn("header", header).withColumn("large", oversize(F.col("chunk")))
     body = F.when(F.startswith("chunk", F.col("header")), F.substring(F.col("chunk"), F.length("header") + 1, F.length("chunk"))).otherwise(F.col("chunk"))
     pack = listed(lambda h, c: scalar.packed(h, c, most, False, False))
-    split = out.where(large).withColumn("parts", pack(F.col("header"), body)).drop("chunk")
-    split = split.select(*[c for c in out.columns if c != "chunk"], F.posexplode("parts").alias("part", "chunk"))
-    split = split.withColumns({"sub_chunk_part": (F.col("part") + 1).cast("int"), "split_reason": F.lit("size_exceeded")}).drop("part")
-    both = fits.unionByName(split)
-    if "tokens" in both.columns:
-        both = both.withColumn("tokens", token_count(F.col("chunk")))
+    rows = rows.withColumn("parts", pack(F.when(F.col("large"), F.col("header")), F.when(F.col("large"), body)))
+    rows = rows.withColumn("p", F.explode(in_parts(F.col("chunk"), ~F.col("large"), F.col("parts"))))
+    rows = rows.withColumns({"chunk": F.col("p.chunk"), "sub_chunk_part": F.col("p.part"), "split_reason": F.when(F.col("large"), "size_exceeded")}).drop("header", "large", "parts", "p")
+    if "tokens" in rows.columns:
+        rows = rows.withColumn("tokens", token_count(F.col("chunk")))
     number = F.row_number().over(Window.partitionBy(*keys).orderBy("chunk_no", F.coalesce("sub_chunk_part", F.lit(0)))) - 1
-    return both.withColumn("chunk_no", number).drop("header")
+    return rows.withColumn("chunk_no", number)
 
 
 def register_all(spark: SparkSession) -> None:

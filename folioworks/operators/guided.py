@@ -26,8 +26,8 @@ def apply_splits(sentences: Column, splits: Column, inclusive: bool = False) ->
 
 
 def replies(sections: DataFrame, model: BoundaryModel | None = None) -> DataFrame:
-    """sections (sentences) with the model's reply; null where there are too few sentences to ask. Asked sections alone
-    reach Python; an error counts as no reply. Write the result before use: replies may differ when asked again."""
+    """sections (sentences) with the model's reply; null where there are too few sentences to ask, and for an error.
+    Only prompts of asked sections go to Python. Write the result before it is used twice: replies may differ."""
     chosen = model or EveryNth()
 
     @F.pandas_udf("string")
@@ -36,14 +36,13 @@ def replies(sections: DataFrame, model: BoundaryModel | None = None) -> DataFram
             out = []
             for prompt in batch:
                 try:
-                    out.append(chosen.reply(prompt))
+                    out.append(None if prompt is None else chosen.reply(prompt))
                 except Exception:
                     out.append(None)
             yield pd.Series(out, dtype=object)
 
-    many = F.size("sentences") > 3
-    asked = sections.where(many).withColumn("reply", ask(F.concat(F.lit(ASK), F.col("title"), F.lit("\n"), sentence_markup(F.col("sentences")))))
-    return asked.unionByName(sections.where(~many).withColumn("reply", F.lit(None).cast("string")))
+    prompt = F.concat(F.lit(ASK), F.col("title"), F.lit("\n"), sentence_markup(F.col("sentences")))
+    return sections.withColumn("reply", ask(F.when(F.size("sentences") > 3, prompt)))
 
 
 def guided_sections(replied: DataFrame, header: Column, paged: bool, inclusive: bool = False, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
