@@ -47,6 +47,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of docs."""
     runs = digest_runs(docs, id_col, text_col)
     groups = merge_runs(runs, fan_in).where("n > 1").select(*(F.col(c).alias("g_" + c) for c in KEY), "first", "n")
+    groups = through_scratch(groups, "digest-groups")  # so that a hot digest's rows can be split in the join
     same = [runs[c] == groups["g_" + c] for c in KEY]
     out = runs.join(groups, same, "left")
     return out.select(
