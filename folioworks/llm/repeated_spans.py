@@ -62,6 +62,7 @@ class Parsed:
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
         at = np.flatnonzero((h >> np.uint64(32)) < BOUND)
+        del h, padded
         doc = np.searchsorted(self.starts, at, "right") - 1
         inside = at + TRIGGER <= self.ends[doc]
         self.at, self.doc = at[inside], doc[inside]
@@ -96,7 +97,8 @@ class Parsed:
         marks = np.concatenate([self.at + 1, self.at - reach])
         docs = np.concatenate([self.doc, self.doc])
         ok = (marks > self.starts[docs]) & (marks <= last[docs])
-        first = np.unique(np.concatenate([self.starts[long_docs], marks[ok]]))
+        first = np.sort(np.concatenate([self.starts[long_docs], marks[ok]]), kind="stable")  # three runs in order
+        first = first[np.concatenate([[True], first[1:] != first[:-1]])] if len(first) else first
         doc = np.searchsorted(self.starts, first, "right") - 1
         end = np.minimum(np.concatenate([first[1:], [np.iinfo(np.int64).max]]), last[doc] + 1)
         a, b = np.searchsorted(self.at, first, "left"), np.searchsorted(self.at, first + reach, "right") - 1
