@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import doc_texts, drop_scratch, scratch_dir, text_batches, write_scratch
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Homes a task deals its blocks to: so many files it writes.
 HOMES = 4
 
