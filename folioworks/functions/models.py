@@ -6,6 +6,7 @@ import hashlib
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 from typing import Any, Protocol
 
 import numpy as np
@@ -33,6 +34,11 @@ class AnswerModel(Protocol):
     def answer(self, prompt: str) -> str: ...
 
 
+@lru_cache(maxsize=1 << 18)
+def word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big")
+
+
 @dataclass
 class HashingEmbedder:
     """Signed hashes of words, at norm 1: an embedder that needs no model."""
@@ -44,7 +50,7 @@ class HashingEmbedder:
         for text in texts:
             v = np.zeros(self.dimensions)
             for word in text[:INPUT_CHARS].lower().split():
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "big")
+                h = word_hash(word)
                 v[h % self.dimensions] += 1 if h >> 63 else -1
             norm = np.linalg.norm(v)
             out.append((v / norm if norm else v).tolist())

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioworks.functions.text import keyword_tokens
+from folioworks.sources.scratch import written
 
 # Parameters of the keyword score and of the fusion of ranks.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -19,7 +20,7 @@ RRF_K, STRONG, MODERATE, NEAR, SEMANTIC = 60, 0.5, 0.2, 0.8, 0.7
 
 @dataclass
 class KeywordIndex:
-    """tf (doc, term, tf, length), idf (term, idf) and stats (n, mean_length); write the tables to use them again."""
+    """tf (doc, term, tf, length), idf (term, idf) and stats (n, mean_length): tables written once and read by each search."""
 
     tf: DataFrame
     idf: DataFrame
@@ -30,10 +31,13 @@ class KeywordIndex:
 def keyword_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> KeywordIndex:
     """Term counts and inverse document frequencies; a negative one becomes a quarter of the mean over all terms."""
     tokens = docs.select(docs[id_col].alias("doc"), keyword_tokens(docs[text_col]).alias("tokens")).withColumn("length", F.size("tokens").cast("long"))
+    tokens = written(tokens, "tokens")
     counts = tokens.select("doc", "length", F.explode("tokens").alias("term")).groupBy("doc", "term").agg(F.count("*").alias("tf"), F.any_value("length").alias("length"))
-    stats = tokens.agg(F.count("*").alias("n"), (F.sum("length") / F.count("*")).alias("mean_length"))
+    counts = written(counts, "postings")
+    stats = written(tokens.agg(F.count("*").alias("n"), (F.sum("length") / F.count("*")).alias("mean_length")), "stats")
     df = counts.groupBy("term").agg(F.count("*").alias("df"))
     raw = df.join(F.broadcast(stats)).select("term", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))  # one row of stats
+    raw = written(raw, "raw-idf")
     mean = raw.agg(F.avg("raw").alias("mean"))
     idf = raw.join(F.broadcast(mean)).select("term", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
     return KeywordIndex(counts, idf, stats, docs.select(docs[id_col].alias("doc")))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from folioworks.functions import scalar
 from folioworks.functions.models import Embedder, embed
 from folioworks.functions.text import token_count
+from folioworks.sources.scratch import written
 
 from .chunkers import overlap_prefix, small_pieces
 
@@ -80,7 +81,7 @@ def breakpoint_chunks(docs: DataFrame, average: int = 400, least: int = 50, over
 
     pieces = with_context(recursive_chunks(docs, least, keys=keys, text_col=text_col), before_after, keys)
     rows = pieces.withColumn("vector", embed(F.col("combined"), embedder)).select("*", F.col("vector.embedding").alias("embedding")).drop("vector", "combined")
-    far = neighbour_distance(rows, keys, "chunk_no").drop("embedding")
+    far = written(neighbour_distance(rows, keys, "chunk_no").drop("embedding"), "distances")  # embedded once
     limits = thresholds(far, keys, average, token_count(F.col("chunk")))
     cut = F.coalesce(F.col("distance") > F.col("threshold"), F.lit(False))
     return overlap_prefix(regrouped(far.join(limits, list(keys)), keys, "chunk_no", cut), overlap, keys)
@@ -117,7 +118,7 @@ def cluster_segments(rows: DataFrame, keys: Sequence[str], order: str, most: int
 
 def cluster_chunks(docs: DataFrame, most: int = 400, least: int = 50, overlap: int = 0, embedder: Embedder | None = None, enforce: bool = False, keys: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """Chunks of neighbouring pieces that belong together, of at most about ``most`` tokens."""
-    pieces = small_pieces(docs, keys, text_col)
+    pieces = written(small_pieces(docs, keys, text_col), "pieces")
     rows = pieces.withColumn("vector", embed(F.col("chunk"), embedder)).select(*keys, "chunk_no", "chunk", F.col("vector.embedding").alias("embedding"))
     found = cluster_segments(rows, keys, "chunk_no", max(1, most // least), enforce=enforce)
     ends = found.select(*keys, F.col("last").alias("chunk_no"), F.lit(True).alias("cut"))
