@@ -32,6 +32,34 @@ SEGMENT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 KEEP_SEGMENTS, KEEP_PAIRS, KEEP_LENGTH = 1_200_000, 1_000_000, 48
 
 
+class Matches:
+    """All pieces at each place of a long segment, shorter ones first, found a window at a time; few windows are held."""
+
+    SIZE, HELD = 1 << 16, 4
+
+    def __init__(self, automaton: ahocorasick.Automaton, text: str, longest: int) -> None:
+        self.automaton, self.text, self.longest = automaton, text, longest
+        self.windows: dict[int, list[list[tuple[int, int]]]] = {}
+
+    def __getitem__(self, at: int) -> list[tuple[int, int]]:
+        w, inside = divmod(at, self.SIZE)
+        if w not in self.windows:
+            if len(self.windows) >= self.HELD:
+                del self.windows[next(iter(self.windows))]
+            self.windows[w] = matches(self.automaton, self.text[w * self.SIZE : (w + 1) * self.SIZE + self.longest], self.SIZE)
+        return self.windows[w][inside]
+
+
+def matches(automaton: ahocorasick.Automaton, text: str, most: int) -> list[list[tuple[int, int]]]:
+    """(length, piece) of all pieces that start at each of the first ``most`` places, shorter ones first."""
+    by_start: list[list[tuple[int, int]]] = [[] for _ in range(min(len(text), most))]
+    for end, found in automaton.iter(text):
+        start = end - found[0] + 1
+        if start < most:
+            by_start[start].append(found)
+    return by_start
+
+
 class PieceEncoder:
     """Encodes like the sentencepiece library with the BPE model of the given file (identity normalisation)."""
 
@@ -46,6 +74,7 @@ class PieceEncoder:
         self.unknown = self.library.unk_id()
         if any(MARK in p.lstrip(MARK) for p in self.pieces):
             raise ValueError("a piece has a space mark after another character")
+        self.longest = max(map(len, self.pieces), default=0)
         self.automaton = ahocorasick.Automaton()
         for p, i in self.pieces.items():
             self.automaton.add_word(p, (len(p), i))
@@ -79,9 +108,7 @@ class PieceEncoder:
 
     def segment(self, text: str) -> list[int]:
         """Ids of a segment."""
-        by_start: list[list[tuple[int, int]]] = [[] for _ in text]  # shorter pieces first
-        for end, found in self.automaton.iter(text):
-            by_start[end - found[0] + 1].append(found)
+        by_start = matches(self.automaton, text, len(text)) if len(text) <= Matches.SIZE else Matches(self.automaton, text, self.longest)
         ids: list[int] = []
         at = 0
         while at < len(text):
@@ -96,7 +123,7 @@ class PieceEncoder:
             at = stop
         return ids
 
-    def stretch(self, by_start: list[list[tuple[int, int]]], begin: int, end: int) -> list[int]:
+    def stretch(self, by_start: list[list[tuple[int, int]]] | Matches, begin: int, end: int) -> list[int]:
         """Ids of a stretch whose characters all have pieces."""
         failed = bytearray((end - begin >> 3) + 1)
         pairs, fits = self.pairs, self.fits
