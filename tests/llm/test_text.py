@@ -42,6 +42,14 @@ def test_words_as_the_library(words, text):
     assert np.frombuffer(own.ids(text), own.width).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_long_segments_go_by_windows(pieces, monkeypatch):
+    text = "".join(ODD[i * 7 % len(ODD)].replace(" ", "e") for i in range(3000)) + "日本語" * 500 + "abab" * 700
+    want = pieces.library.encode(text)
+    assert pieces.encoded(text) == want
+    monkeypatch.setattr(piece_bpe.Matches, "SIZE", 64)
+    assert pieces.encoded(text) == want
+
+
 def test_stores_stay_bounded(monkeypatch):
     own = packing.WordTokenizer(WORD_FILE, keep=5)
     library = Tokenizer.from_file(WORD_FILE)
