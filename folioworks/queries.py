@@ -618,7 +618,7 @@ def answered_questions(spark: SparkSession, d: str) -> DataFrame:
 # Reports, stores and conversations.
 
 
-@query("select count(*) as n_chunks, cast(0 as bigint) as n_split, sum(length(text) // 4) // count(*) as mean_tokens, min(length(text) // 4) as min_tokens, max(length(text) // 4) as max_tokens from documents")
+@query("select count(*) as n_chunks, cast(0 as bigint) as n_split, cast(sum(length(text) // 4) // count(*) as bigint) as mean_tokens, min(length(text) // 4) as min_tokens, max(length(text) // 4) as max_tokens from documents")
 def chunk_stats(spark: SparkSession, d: str) -> DataFrame:
     return stats.chunk_stats(documents(spark, d).withColumnRenamed("text", "chunk"))
 
