@@ -51,35 +51,33 @@ def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return line, cells
 
 
-def cell_peaks(model: Model, line: np.ndarray, where: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
-    """Largest response of each filter in each cell, and the place in the line where it is."""
-    n = (len(line) - WIDTH) // CELL
-    peaks = np.empty((n, FILTERS), np.float32)
-    places = np.empty((n, FILTERS), np.int64) if where else None
-    per = PIECE // CELL
+def largest(x: np.ndarray) -> np.ndarray:
+    """Maximum over the second axis, whose length is a power of two, by halves."""
+    while x.shape[1] > 1:
+        half = x.shape[1] // 2
+        x = np.maximum(x[:, :half], x[:, half:])
+    return x[:, 0]
+
+
+def responses(model: Model, line: np.ndarray) -> Iterator[np.ndarray]:
+    """Responses without bias, for each offset: cell, place in the cell (WIDTH bytes apart), filter."""
+    flat = np.take(model["embed"], line, axis=0).ravel()
+    n = (len(line) - WIDTH) * DIM
+    for p in range(0, WIDTH, STEP):  # places p, p + WIDTH, ... lie in the line without overlap
+        yield (flat[p * DIM : p * DIM + n].reshape(-1, WIDTH * DIM) @ model["filters"]).reshape(-1, CELL // WIDTH, FILTERS)
+
+
+def cell_peaks(model: Model, line: np.ndarray) -> np.ndarray:
+    """Largest response of each filter in each cell, a piece of the line at a time."""
+    n, per = (len(line) - WIDTH) // CELL, PIECE // CELL
+    parts = []
     for a in range(0, n, per):
-        b = min(n, a + per)
-        flat = model["embed"][line[a * CELL : b * CELL + WIDTH]].ravel()
         best = None
-        for p in range(0, WIDTH, STEP):  # filter places p, p + WIDTH, ...: each set lies in the line without overlap
-            rows = flat[p * DIM : p * DIM + (b - a) * CELL * DIM].reshape(-1, WIDTH * DIM)
-            got = (rows @ model["filters"]).reshape(b - a, CELL // WIDTH, FILTERS)
-            if where:
-                k = got.argmax(1)
-                top = np.take_along_axis(got, k[:, None, :], 1)[:, 0]
-                at = np.arange(a, b)[:, None] * CELL + k * WIDTH + p
-            else:
-                top, at = got.max(1), None
-            if best is None:
-                best, best_at = top, at
-            else:
-                if where:
-                    best_at = np.where(top > best, at, best_at)
-                best = np.maximum(best, top)
-        peaks[a:b] = best
-        if where:
-            places[a:b] = best_at
-    return peaks + model["bias"], places
+        for got in responses(model, line[a * CELL : min(n, a + per) * CELL + WIDTH]):
+            top = largest(got)
+            best = top if best is None else np.maximum(best, top, out=best)
+        parts.append(best)
+    return np.concatenate(parts) + model["bias"]
 
 
 def chunk_cells(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +97,7 @@ def head(model: Model, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def score(model: Model, texts: list[bytes]) -> np.ndarray:
     """Probability of label 1 of each whole text."""
     line, cells = laid_out(texts)
-    peaks, _ = cell_peaks(model, line)
+    peaks = cell_peaks(model, line)
     index, counts = chunk_cells(cells)
     chunks = peaks[index[:, 0]]
     for j in range(1, CHUNK):
@@ -113,12 +111,15 @@ def score(model: Model, texts: list[bytes]) -> np.ndarray:
 def gradients(model: Model, texts: list[bytes], labels: np.ndarray) -> Model:
     """Gradients of the mean log loss; pooling passes them to the places of the maxima alone."""
     line, cells = laid_out(texts)
-    peaks, places = cell_peaks(model, line, where=True)
+    every_response = np.stack(list(responses(model, line)))
+    peaks = largest(np.maximum.reduce(every_response)) + model["bias"]
     index, counts = chunk_cells(cells)
     every = peaks[index]
     k = every.argmax(1)
     chunks = np.maximum(0, np.take_along_axis(every, k[:, None, :], 1)[:, 0])
-    at = np.take_along_axis(places[index], k[:, None, :], 1)[:, 0]
+    cell = np.take_along_axis(np.broadcast_to(index[:, :, None], every.shape), k[:, None, :], 1)[:, 0]
+    inside = every_response[:, cell, :, np.arange(FILTERS)[None]].reshape(*cell.shape, -1).argmax(2)
+    at = cell * CELL + inside % (CELL // WIDTH) * WIDTH + inside // (CELL // WIDTH) * STEP
     starts = np.cumsum(counts) - counts
     doc = np.repeat(np.arange(len(texts)), counts)
     high, low, mean = np.maximum.reduceat(chunks, starts), np.minimum.reduceat(chunks, starts), np.add.reduceat(chunks, starts) / counts[:, None]
@@ -146,7 +147,7 @@ def gradients(model: Model, texts: list[bytes], labels: np.ndarray) -> Model:
     return g
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 10, batch: int = 64, rate: float = 0.004, crop: int = 6144, seed: int = 7) -> Model:
+def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.004, crop: int = 6144, seed: int = 7) -> Model:
     """Adam over shuffled batches; a text longer than crop gives another window of that size each time."""
     model, r = fresh(seed), np.random.default_rng(seed)
     share = float(np.clip(labels.mean(), 0.001, 0.999))
