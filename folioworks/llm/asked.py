@@ -50,7 +50,7 @@ class BlockTable:
         self.spark = rows.sparkSession
         self.name = f"fw_{name}_{uuid.uuid4().hex}"
         self.path = f"{scratch_dir(self.spark)}/{self.name}"
-        rows.write.format("parquet").bucketBy(buckets, "home").option("path", self.path).saveAsTable(self.name)
+        rows.write.format("parquet").option("compression", "zstd").bucketBy(buckets, "home").option("path", self.path).saveAsTable(self.name)
 
     def frame(self) -> DataFrame:
         return self.spark.table(self.name)

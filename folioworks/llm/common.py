@@ -35,7 +35,7 @@ def scratch_dir(spark: SparkSession) -> str:
 def write_scratch(df: DataFrame, name: str) -> str:
     """Write df as Parquet in the shared folder, which cuts its lineage; returns the path."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return path
 
 
