@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import re
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -117,8 +116,3 @@ def discover_markdown(spark: SparkSession, path: str) -> DataFrame:
     """Markdown files of a folder in order of name, without readmes and hidden files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.md").load(path).select("path").withColumn("name", F.element_at(F.split("path", "/"), -1))
     return files.where((F.lower("name") != "readme.md") & ~F.startswith("name", F.lit("."))).orderBy("name")
-
-
-def safe_name(name: str) -> str:
-    """A name that SQL takes without quotes."""
-    return re.sub(r"[^A-Za-z0-9_]", "_", name)
