@@ -10,7 +10,6 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from folioworks.llm import katz_lm, packing, piece_bpe, quality, secret_scan
