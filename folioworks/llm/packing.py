@@ -44,7 +44,7 @@ def word_pattern() -> re.Pattern[str]:
 class WordTokenizer:
     """Ids of a tokenizer file of lower-cased words, as packed little-endian 16- or 32-bit numbers."""
 
-    def __init__(self, file: str, keep: int = 1_200_000) -> None:
+    def __init__(self, file: str, keep: int = 800_000) -> None:
         self.tokenizer = Tokenizer.from_file(file)
         self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.parts = word_pattern().findall
