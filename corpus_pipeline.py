@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from folioworks.llm.common import read_table, through_scratch
 from folioworks.llm.exact_dedup import exact_dedup, keep_one
+from folioworks.llm.near_copies import one_of_near
 from folioworks.llm.packing import pack
 from folioworks.llm.quality import keep_good
 from folioworks.llm.secret_scan import redact_secrets
-from folioworks.llm.simhash_dedup import one_of_each
 
 #: No SQL has a trained network or a tokenizer: tests hold the stages against brute-force versions.
 ORACLE_SQL = None
@@ -29,8 +29,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that SimHash links one stays: the one with the smallest id."""
-    return one_of_each(docs)
+    """Of documents that SimHash or 0.8 of the 5-word shingles link one stays: the one with the smallest id."""
+    return one_of_near(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,11 +124,16 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 3, distance: int = 2, hot: int = 64) -> DataFrame:
-    """The rows of docs, with its own columns, of which one of each component stays: that of the smallest id.
+    """The rows of docs, with its own columns, of which one of each component stays: that of the smallest id."""
+    return keep_smallest(docs, grouped(docs, id_col, text_col, n_words, distance, hot), lambda t: simhash(t, n_words), id_col, text_col)
+
+
+def keep_smallest(docs: DataFrame, groups: DataFrame, print_of: Callable[[bytes], int], id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs of which one of each component of groups (doc_id, fp, root, component_id) stays.
 
     Ids that stand in several rows are settled among those rows alone, where the fingerprint names the component.
     """
-    decisions = through_scratch(grouped(docs, id_col, text_col, n_words, distance, hot), "simhash-decisions")
+    decisions = through_scratch(groups, "simhash-decisions")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
     ids = decisions.groupBy(F.col("doc_id").alias("fw_id")).agg(F.count("*").alias("fw_rows"), F.count_if(stays).alias("fw_keep"))
     ids = through_scratch(ids.where("fw_keep = 0 or fw_rows > 1"), "dropped-ids")
@@ -143,7 +148,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("fw_text").cast(pa.binary())
-            prints = np.fromiter((simhash(t.as_py(), n_words) for t in texts), np.uint64, len(texts)).view(np.int64)
+            prints = np.array([print_of(t.as_py()) & (1 << 64) - 1 for t in texts], np.uint64).view(np.int64)
             yield batch.append_column("fw_print", pa.array(prints, pa.int64()))
 
     held = held.mapInArrow(with_print, T.StructType([*held.schema.fields, T.StructField("fw_print", T.LongType())]))
