@@ -5,7 +5,7 @@ sets that have 0.8 of their union in common agree in no band with a chance of 3e
 that share a band's key are candidates, each is verified by the sets themselves. A key of more than ``hot`` nodes is
 not paired off at once: its nodes are first compared with one of them, and then only nodes that links so far do not
 join are compared, first by 2048 bits of further minima in the join's condition (a pair at 0.8 fails there with a
-chance of 3e-7) and then by their sets. So a large group of near copies costs few pairs; many unlinked nodes under a
+chance of 3e-7) and then, in the same condition, by their sets. So a large group of near copies costs few pairs; many unlinked nodes under a
 key still cost a cheap comparison each.
 
 SimHash's links (3 words, 2 bits) are added, so nothing that they join stays apart. Components, null and repeated ids,
@@ -105,11 +105,15 @@ def sizes_fit(a: Column, b: Column, similarity: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * similarity - 1e-6
 
 
+def alike(a: Column, b: Column, similarity: float) -> Column:
+    common = F.size(F.array_intersect(a, b))
+    return common >= (F.size(a) + F.size(b) - common) * similarity - 1e-6
+
+
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets have at least the given share of their union in common."""
     left, right = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    common = F.size(F.array_intersect("ha", "hb"))
-    near = pairs.join(left, "a").join(right, "b").where(common >= (F.size("ha") + F.size("hb") - common) * similarity - 1e-6)
+    near = pairs.join(left, "a").join(right, "b").where(alike(F.col("ha"), F.col("hb"), similarity))
     return through_scratch(near.select("a", "b"), "near-links")
 
 
@@ -142,17 +146,17 @@ def shingle_links(docs: DataFrame, prints: DataFrame, known: DataFrame, similari
     rooted = through_scratch(rooted, "near-rooted")
     held = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = held.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    open_ = rooted.join(main, "key").join(sets.select("node", "bits"), "node")
+    open_ = rooted.join(main, "key").join(sets, "node")
     open_ = through_scratch(open_, "near-open")
-    names = ["node", "size", "root", "bits"]
+    names = ["node", "size", "root", "bits", "hashes"]
     left, right = (rows.select("key", "main", *(F.col(c).alias(c + side) for c in names)) for rows, side in ((open_.where("root <> main"), "_a"), (open_, "_b")))
     once = (F.col("root_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))
     apart = sum((F.bit_count(F.get("bits_a", F.lit(i)).bitwiseXOR(F.get("bits_b", F.lit(i)))) for i in range(LONGS)), F.lit(0))
     p = (1 - similarity) / 2
     most = 64 * LONGS * p + DEVIATIONS * (64 * LONGS * p * (1 - p)) ** 0.5
-    rest = left.join(right.drop("main"), "key").where((F.col("root_a") != F.col("root_b")) & once & sizes_fit(F.col("size_a"), F.col("size_b"), similarity) & (apart <= most))
+    rest = left.join(right.drop("main"), "key").where((F.col("root_a") != F.col("root_b")) & once & sizes_fit(F.col("size_a"), F.col("size_b"), similarity) & (apart <= most) & alike(F.col("hashes_a"), F.col("hashes_b"), similarity))
     rest = rest.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-    return first.unionByName(verified(through_scratch(rest, "near-pairs"), sets, similarity))
+    return first.unionByName(through_scratch(rest, "near-links"))
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, hot: int = 16) -> DataFrame:
