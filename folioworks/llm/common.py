@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -52,6 +53,18 @@ def drop_scratch(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written; else they stay until the driver happens
+    to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of the bytes that df gives; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

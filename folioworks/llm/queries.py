@@ -69,12 +69,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 OP5_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v from embeddings
   where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scored as (
-  select q.vec_id as query_id, d.vec_id as vec_id, cast(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) as bigint) as score
-  from v q join v d on q.vec_id % 20 = 0 and d.vec_id <> q.vec_id),
-ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+  select q.row as asked, q.vec_id as query_id, d.vec_id as vec_id, cast(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v d on q.vec_id % 20 = 0 and d.row <> q.row),
+ranked as (select *, row_number() over (partition by asked order by score desc, vec_id) as rank from scored)
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
 """
 OP6_SQL = r"""

@@ -5,20 +5,26 @@ A dimension is a term: a block's summary holds each term's largest and smallest
 query's terms bound every score in the block. A query visits the blocks in descending order of that bound, scores a
 block through its forward index (the block's matrix), and stops when the bound falls below its k-th score.
 
-Distribution: ids are range-partitioned into groups of a fixed size, queries into chunks of a fixed size; a task has
-one group and one chunk, so its memory does not grow with the input. Chunks first meet the group their own ids come
-from, and the k-th scores found there are the thresholds with which they enter the other groups, so those give out
-only what can still matter. The last step ranks at most k rows from each group for each query.
+Distribution: blocks lie in groups of a fixed size, queries in chunks of a fixed size; a task has one group and one
+chunk, so its memory does not grow with the input. Chunks meet groups in rounds: first the group their own ids come
+from, then the next 4, the next 16 and so on. Each round begins with the k-th scores of the rounds before it: the
+small table of block summaries is held against them, and only blocks whose bound reaches the k-th score of a query of
+the chunk are sent to it. After each round at most k rows of each query stay.
+
+Integers are exact at every size: blocks keep the narrowest type that holds them, and scores that float or 64-bit
+arithmetic could round or overflow are worked out in Python's integers.
 
 Defined results: null vectors, and those with null, NaN or infinite components, take no part; a shorter vector counts
-as padded with zeros; components are held to +-2**20 after scaling; null ids take no part; a row never matches rows of
-its own id, and repeated rows are candidates each; equal scores go to the smaller vec_id; of query rows that share an id the smallest vector asks; fewer candidates than k give
-fewer rows; an empty table gives none.
+as padded with zeros; null ids take no part; a query row never matches itself, but matches other rows of its id, and
+each of several rows of one id asks and is found for itself; a score outside of 64 bits is held to the end of their
+range; equal scores go to the smaller vec_id; fewer candidates than k give fewer rows; an empty table gives none; only
+the named columns are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,150 +32,265 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import write_scratch
+from .common import release, through_scratch
 
 SCALE = 64
-LIMIT = 1 << 20
-BLOCK = 256
-GROUP = 16384
-CHUNK = 1024
-NONE = np.iinfo(np.int64).min
-
-
-def quantised(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(vec_id, v array<int>) of the rows that take part."""
-    v = F.transform(F.col("v"), lambda x: x.cast("double"))
-    good = F.col("id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    level = lambda x: F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.floor(F.lit(float(SCALE)) * F.greatest(F.lit(-1e9), F.least(F.lit(1e9), x))))).cast("int")
-    rows = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vec_col].alias("v")).select("id", v.alias("v"))
-    return rows.where(good).select(F.col("id").alias("vec_id"), F.transform("v", level).alias("v"))
-
-
-def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of id to blocks of at most BLOCK rows; grp numbers GROUP rows of one partition."""
-    schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n", pa.int32()), ("dim", pa.int32()), ("ids", pa.binary()), ("mat", pa.binary())])
-    seq = 0
-    for batch in batches:
-        ids, parts = batch.column("vec_id").to_numpy(zero_copy_only=False), batch.column("part").to_numpy(zero_copy_only=False)
-        lists = batch.column("v")
-        sizes = np.diff(lists.offsets.to_numpy())
-        flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-        for at in range(0, len(ids), BLOCK):
-            some = slice(at, min(len(ids), at + BLOCK))
-            n, dim = some.stop - at, int(sizes[some].max(initial=0))
-            mat = np.zeros((n, dim), np.int32)
-            if (sizes[some] == dim).all():
-                mat[:] = flat[ends[at] : ends[some.stop]].reshape(n, dim)
-            else:
-                for i in range(n):
-                    mat[i, : sizes[at + i]] = flat[ends[at + i] : ends[at + i + 1]]
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((int(parts[0]), seq, n, dim, ids[some].astype("<i8").tobytes(), mat.tobytes()), schema.types, strict=True)], schema=schema)
-            seq += 1
-
-
-def unpack(row, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row.ids, "<i8")
-    mat = np.frombuffer(row.mat, np.int32).reshape(len(ids), row.dim)
-    return ids, mat if row.dim == dim else np.pad(mat, ((0, 0), (0, dim - row.dim)))
-
-
-def search_tile(query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, vec_id, score) of the up to k best of each query among the blocks, which are in order of id.
+#: Vectors in a block, and at most in a group and in a chunk of queries.
+BLOCK, GROUP, CHUNK = 256, 32768, 4096
+#: Groups whose summaries a task holds at once; how much wider each round is than the one before.
+SUMMARIES, WIDEN = 64, 4
+LOW, HIGH = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+#: No floor yet, and no result yet in 64 bits or in Python's integers.
+NONE, NONE_WIDE = LOW, -(1 << 100)
+
+SHAPE = "part int, seq int, n int, dim int, kind string, ids binary, rows binary, mat binary, tops binary, lows binary"
+ARROW = pa.schema([(c, t) for c, t in zip(("part", "seq", "n", "dim", "kind", "ids", "rows", "mat", "tops", "lows"), (*[pa.int32()] * 4, pa.string(), *[pa.binary()] * 5), strict=True)])
+
+
+def taking_part(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(row, vec_id, v array<double>) of the rows that take part."""
+    rows = vectors.select(F.monotonically_increasing_id().alias("row"), vectors[id_col].cast("long").alias("vec_id"), vectors[vec_col].alias("v"))
+    rows = rows.withColumn("v", F.transform("v", lambda x: x.cast("double")))
+    return rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
+
+
+def narrow(x: np.ndarray) -> tuple[str, np.ndarray]:
+    """floor(64 x) in the narrowest type that holds it exactly; components that a double cannot scale stay as they are."""
+    with np.errstate(over="ignore"):
+        v = np.floor(x * SCALE)
+    if not np.isfinite(v).all():
+        return "r", x
+    most = np.abs(v).max(initial=0)
+    kind = next((k for k, top in (("b", 2**7), ("h", 2**15), ("i", 2**31)) if most < top), "d")
+    return kind, v.astype(kind)
+
+
+def levels(kind: str, data: bytes, n: int, dim: int) -> np.ndarray:
+    """The integers that narrow() was given, as numbers of a narrow type, doubles or Python's integers."""
+    v = np.frombuffer(data, "<f8" if kind == "r" else kind)
+    if kind == "r":
+        v = np.array([math.floor(x * SCALE) if math.isfinite(x * SCALE) else int(x) * SCALE for x in v.tolist()], object)
+    return v.reshape(n, dim)
+
+
+def wide(m: np.ndarray) -> np.ndarray:
+    return m if m.dtype == object else np.array([int(x) for x in m.ravel().tolist()], object).reshape(m.shape)
+
+
+def packer(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (part, row, vec_id, v) in order to blocks of at most ``size`` rows."""
+
+    def block(part: int, seq: int, ids: list, rows: list, vectors: list) -> pa.RecordBatch:
+        dim = max((len(v) for v in vectors), default=0)
+        x = np.zeros((len(ids), dim))
+        for i, v in enumerate(vectors):
+            x[i, : len(v)] = v
+        kind, m = narrow(x)
+        row = (part, seq, len(ids), dim, kind, np.array(ids, "<i8").tobytes(), np.array(rows, "<i8").tobytes(), m.tobytes(), m.max(0).tobytes(), m.min(0).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row, ARROW.types, strict=True)], schema=ARROW)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids: list[int] = []
+        rows: list[int] = []
+        vectors: list[np.ndarray] = []
+        part, seq = 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = batch.column("part")[0].as_py()
+            lists = batch.column("v")
+            ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            ids += batch.column("vec_id").to_pylist()
+            rows += batch.column("row").to_pylist()
+            vectors += [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            while len(ids) >= size:
+                yield block(part, seq, ids[:size], rows[:size], vectors[:size])
+                del ids[:size], rows[:size], vectors[:size]
+                seq += 1
+        if ids:
+            yield block(part, seq, ids, rows, vectors)
+
+    return run
+
+
+def blocks_of(rows: DataFrame, parts: int, size: int, name: str) -> DataFrame:
+    """Rows dealt out by ranges of ids (rows of one id may lie in several), as written blocks."""
+    ranged = rows.repartitionByRange(parts, "vec_id", "row").sortWithinPartitions("vec_id", "row")
+    ranged = ranged.select(F.spark_partition_id().alias("part"), "row", "vec_id", "v")
+    return through_scratch(ranged.mapInArrow(packer(size), SHAPE), name)
+
+
+def padded(m: np.ndarray, dim: int) -> np.ndarray:
+    return m if m.shape[1] == dim else np.concatenate([m, np.zeros((len(m), dim - m.shape[1]), m.dtype)], axis=1)
+
+
+def stacked(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([wide(m) for m in parts] if any(m.dtype == object for m in parts) else parts)
+
+
+def largest(m: np.ndarray) -> float:
+    return float(max(1, min(max(np.abs(m.astype(float) if m.dtype != object else m).max(initial=0), 0), 10**300)))
+
+
+def exact_type(bound: float) -> type:
+    """Arithmetic in which products and sums up to bound are exact."""
+    return np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else object
+
+
+def in_type(m: np.ndarray, kind: type) -> np.ndarray:
+    return wide(m) if kind is object else m.astype(kind)
+
+
+def held(scores: np.ndarray) -> np.ndarray:
+    """Scores as 64-bit integers, held to their range."""
+    if scores.dtype == object:
+        return np.array([min(HIGH, max(LOW, x)) for x in scores.ravel().tolist()], np.int64).reshape(scores.shape)
+    return scores.astype(np.int64)
+
+
+def bounds(q: np.ndarray, tops: np.ndarray, lows: np.ndarray) -> np.ndarray:
+    """Summed maxima of each query's terms in each block."""
+    return held(np.maximum(q, 0) @ tops.T + np.minimum(q, 0) @ lows.T)
+
+
+def search_tile(query_rows: np.ndarray, queries: np.ndarray, floor: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(query number, vec_id, row, score) of the up to k best of each query among the blocks (ids, rows, matrix).
 
     floor: scores that a result must at least have.
     """
-    bound = float(max(1, max(np.abs(m).max(initial=0) for _, m in blocks))) * float(max(1, np.abs(queries).max(initial=0))) * queries.shape[1]
-    kind = np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else object  # exact for these integers
-    mats = [m.T.astype(kind) for _, m in blocks]
-    q = queries.astype(kind)
-    ups, downs = np.stack([m.max(0) for _, m in blocks]).astype(kind), np.stack([m.min(0) for _, m in blocks]).astype(kind)
-    most = (np.maximum(q, 0) @ ups.T + np.minimum(q, 0) @ downs.T).astype(np.int64)
-    order = np.argsort(-most, axis=1, kind="stable")
-    ids = np.concatenate([i for i, _ in blocks])
-    base = np.cumsum([0, *(len(i) for i, _ in blocks)])
+    bound = max(largest(m) for _, _, m in blocks) * largest(queries) * queries.shape[1]
+    kind = exact_type(bound)
+    mats, q = [in_type(m, kind).T for _, _, m in blocks], in_type(queries, kind)
+    most = bounds(q, np.stack([m.max(1) for m in mats]), np.stack([m.min(1) for m in mats]))
+    order = np.argsort(most, axis=1, kind="stable")[:, ::-1]
+    ids, rows = np.concatenate([i for i, _, _ in blocks]), np.concatenate([r for _, r, _ in blocks])
+    base = np.cumsum([0, *(len(i) for i, _, _ in blocks)])
+    by_id = np.lexsort((rows, ids))
+    place = np.empty(len(ids), np.int64)
+    place[by_id] = np.arange(len(ids))
     span = 1 << int(len(ids)).bit_length()
-    # score and place in one number: a higher score, then a smaller id, is larger
-    best = np.full((len(q), k), NONE, np.int64)
+    # Score and place in one number: a higher score, then a smaller id, is larger.
+    fits = bound * span * 2 < 2**62
+    none, number = (NONE, np.int64) if fits else (NONE_WIDE, object)
+    best = np.full((len(q), k), none, number)
     every = np.arange(len(q))
+    open_ones = np.ones(len(q), bool)
     for r in range(len(blocks)):
         at = order[:, r]
-        kth = np.maximum(floor, np.where(best[:, 0] == NONE, NONE, best[:, 0] // span))
-        alive = most[every, at] >= kth
-        if not alive.any():
+        worst = best[:, 0]
+        kth = np.where(worst == none, floor, np.maximum(floor, (worst // span).astype(np.int64) if fits else held(np.where(worst == none, LOW, worst // span))))
+        open_ones &= most[every, at] >= kth
+        if not open_ones.any():
             break  # bounds only fall from here
-        for b in np.unique(at[alive]):
-            rows = np.flatnonzero(alive & (at == b))
-            score = (q[rows] @ mats[b]).astype(np.int64)
-            place = span - 1 - (base[b] + np.arange(len(blocks[b][0])))
-            mixed = score * span + place
-            mixed[(score < floor[rows, None]) | (blocks[b][0][None, :] == query_ids[rows, None])] = NONE
-            both = np.concatenate([best[rows], mixed], axis=1)
-            best[rows] = np.sort(np.partition(both, both.shape[1] - k, axis=1)[:, -k:], axis=1)
-    row, col = np.nonzero(best != NONE)
+        for b in np.unique(at[open_ones]):
+            some = np.flatnonzero(open_ones & (at == b))
+            score = held(q[some] @ mats[b])
+            here = slice(base[b], base[b + 1])
+            mixed = score.astype(number) * span + (span - 1 - place[here]).astype(number)
+            mixed[(score < floor[some, None]) | (rows[here][None, :] == query_rows[some, None])] = none
+            both = np.concatenate([best[some], mixed], axis=1)
+            both = np.partition(both, both.shape[1] - k, axis=1) if fits else np.sort(both, axis=1)
+            best[some] = np.sort(both[:, -k:], axis=1)
+    row, col = np.nonzero(best != none)
     value = best[row, col]
-    return row, ids[span - 1 - value % span], value // span
+    where = by_id[(span - 1 - value % span).astype(np.int64)]
+    return row, ids[where], rows[where], (value // span).astype(np.int64)
 
 
-def tile_search(k: int):
+def of_row(r, name: str, dim: int, n: int | None = None) -> np.ndarray:
+    return padded(levels(r.kind, getattr(r, name), r.n if n is None else n, r.dim), dim)
+
+
+def floors_of(r) -> np.ndarray:
+    """Floor of each query of a chunk."""
+    floor = np.full(r.n, NONE, np.int64)
+    for f in r.floors if r.floors is not None else []:
+        floor[f["q"]] = f["floor"]
+    return floor
+
+
+FOUND = "chunk long, q int, query_id long, vec_id long, row long, score long"
+
+
+def tile_search(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         dim = max(1, int(pdf.dim.max()))
-        blocks = [unpack(r, dim) for r in pdf[~pdf.is_query].sort_values("seq").itertuples()]
         asked = pdf[pdf.is_query]
+        blocks = [(np.frombuffer(r.ids, "<i8"), np.frombuffer(r.rows, "<i8"), of_row(r, "mat", dim)) for r in pdf[~pdf.is_query].sort_values("seq").itertuples()]
         if not blocks or asked.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
-        got = [unpack(r, dim) for r in asked.itertuples()]
-        query_ids, queries = np.concatenate([i for i, _ in got]), np.concatenate([m for _, m in got])
-        floor = np.concatenate([np.frombuffer(f, "<i8") if f is not None else np.full(n, NONE) for f, n in zip(asked.floors, asked.n, strict=True)])
-        row, ids, score = search_tile(query_ids, queries, floor, blocks, k)
-        return pd.DataFrame({"query_id": query_ids[row], "vec_id": ids, "score": score})
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("chunk", "q", "query_id", "vec_id", "row", "score")})
+        r = next(asked.itertuples())
+        q, ids, rows, score = search_tile(np.frombuffer(r.rows, "<i8"), of_row(r, "mat", dim), floors_of(r), blocks, k)
+        return pd.DataFrame({"chunk": r.chunk, "q": q.astype(np.int32), "query_id": np.frombuffer(r.ids, "<i8")[q], "vec_id": ids, "row": rows, "score": score})
 
     return run
 
 
-def pack_queries(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The queries of a chunk in one row."""
-    dim = max(len(v) for v in pdf.v)
-    mat = np.zeros((len(pdf), dim), np.int32)
-    for i, v in enumerate(pdf.v):
-        mat[i, : len(v)] = v
-    packed = {"chunk": int(pdf.chunk.iloc[0]), "n": len(pdf), "dim": dim, "ids": pdf.vec_id.to_numpy("<i8").tobytes(), "mat": mat.tobytes(), "floors": pdf.floor.to_numpy("<i8").tobytes()}
-    return pd.DataFrame([packed])
+def blocks_to_visit(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Blocks of some groups whose bound reaches the k-th score of a query of the chunk."""
+    dim = max(1, int(pdf.dim.max()))
+    asked, known = pdf[pdf.is_query], pdf[~pdf.is_query]
+    if asked.empty or known.empty:
+        return pd.DataFrame({"chunk": np.zeros(0, np.int64), "part": np.zeros(0, np.int32), "seq": np.zeros(0, np.int32)})
+    r = next(asked.itertuples())
+    q = of_row(r, "mat", dim)
+    tops, lows = (stacked([of_row(b, c, dim, 1) for b in known.itertuples()]) for c in ("tops", "lows"))
+    kind = exact_type(max(largest(tops), largest(lows)) * largest(q) * dim)
+    reached = (bounds(in_type(q, kind), in_type(tops, kind), in_type(lows, kind)) >= floors_of(r)[:, None]).any(0)
+    return pd.DataFrame({"chunk": r.chunk, "part": known.part[reached], "seq": known.seq[reached]})
 
 
-def topk_search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", query_mod: int = 20, k: int = 20) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best other vectors of every vector whose id is divisible by query_mod."""
+def topk_search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", query_mod: int = 20, k: int = 20, group: int = GROUP, chunk: int = CHUNK) -> DataFrame:
+    """query_id, rank, vec_id, score of the k best other vectors of every row whose id is divisible by query_mod.
+
+    group, chunk: at most about so many vectors, and so many queries, meet in a task.
+    """
     spark = vectors.sparkSession
-    rows = quantised(vectors, id_col, vec_col)
-    n = rows.count()
-    n_groups, n_chunks = max(1, -(-n // GROUP)), max(1, -(-(n // query_mod + 1) // CHUNK))
-
-    ranged = rows.repartitionByRange(n_groups, "vec_id").sortWithinPartitions("vec_id")
-    kept = "part int, seq int, n int, dim int, ids binary, mat binary"
-    blocks = ranged.select(F.spark_partition_id().alias("part"), "vec_id", "v").mapInArrow(pack, kept)
-    docs = spark.read.schema(kept).parquet(write_scratch(blocks, "vector-blocks")).withColumnRenamed("part", "grp")
-    docs = docs.withColumn("is_query", F.lit(False)).withColumn("floors", F.lit(None).cast("binary"))
-    asked = rows.where(F.col("vec_id") % query_mod == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = asked.repartitionByRange(n_chunks, "vec_id").select(F.spark_partition_id().alias("chunk"), "vec_id", "v")
-    asked = spark.read.schema(asked.schema).parquet(write_scratch(asked, "queries"))
-
-    # Queries are an even share of the ids, in the same order: chunk c lies around this group.
-    own = F.least(F.lit(n_groups - 1), F.floor((F.col("chunk") + 0.5) * n_groups / n_chunks)).cast("int")
-    shape = ["grp", "chunk", "is_query", "seq", "n", "dim", "ids", "mat", "floors"]
-    out = "query_id long, vec_id long, score long"
-
-    def searched(groups: Column, floors: DataFrame | None) -> DataFrame:
-        """What the tiles of each chunk with these groups (an array by chunk) give."""
-        with_floor = asked.withColumn("floor", F.lit(NONE)) if floors is None else asked.join(floors, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(NONE)))
-        packed = with_floor.groupBy("chunk").applyInPandas(pack_queries, "chunk int, n int, dim int, ids binary, mat binary, floors binary")
-        queries = packed.withColumn("grp", F.explode(groups)).withColumn("is_query", F.lit(True)).withColumn("seq", F.lit(0))
-        met = docs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1)))).where(F.array_contains(groups, F.col("grp")))
-        return met.select(*shape).unionByName(queries.select(*shape)).groupBy("grp", "chunk").applyInPandas(tile_search(k), out)
-
-    found = spark.read.schema(out).parquet(write_scratch(searched(F.array(own), None), "first-tiles"))
-    if n_groups > 1:
-        best = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("c"), F.min("score").alias("floor")).where(F.col("c") >= k)
-        others = F.array_remove(F.sequence(F.lit(0), F.lit(n_groups - 1)), own)
-        found = found.unionByName(searched(others, best.select("vec_id", "floor")))
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    result = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
-    return result.select("query_id", "rank", "vec_id", "score")
+    cores = spark.sparkContext.defaultParallelism
+    rows = through_scratch(taking_part(vectors, id_col, vec_col), "vectors")
+    asking = rows.where(F.col("vec_id") % query_mod == 0)
+    n, n_asking = rows.count(), asking.count()
+    docs = blocks_of(rows, max(1, -(-n // group), min(cores, -(-n // (8 * BLOCK)))), BLOCK, "vector-blocks")
+    asked = blocks_of(asking, max(1, -(-n_asking // chunk), min(cores, -(-n_asking // BLOCK))), chunk, "query-chunks")
+    asked = asked.withColumn("chunk", F.col("part").cast("long") * (1 << 20) + F.col("seq"))
+    groups, parts = ((x or 0) + 1 for x in (docs.agg(F.max("part")).first()[0], asked.agg(F.max("part")).first()[0]))
+
+    own = F.least(F.lit(groups - 1), F.floor((F.col("part") + 0.5) * groups / parts)).cast("int")  # ids of both are in the same order
+    common = ["chunk", "grp", "is_query", "part", "seq", "n", "dim", "kind", "ids", "rows", "mat", "tops", "lows", "floors"]
+    none = F.lit(None).cast("array<struct<q:int,floor:long>>")
+    best: DataFrame | None = None
+    first, width = 0, 1
+    while first < groups:
+        last = min(groups, first + width)
+        floors = asked.withColumn("floors", none)
+        if best is not None:
+            kth = best.groupBy("chunk", "q").agg(F.count("*").alias("c"), F.min("score").alias("floor")).where(F.col("c") >= k)
+            floors = asked.join(kth.groupBy("chunk").agg(F.collect_list(F.struct("q", "floor")).alias("floors")), "chunk", "left")  # at most a chunk's queries
+            floors = through_scratch(floors, "query-floors")
+        near = F.transform(F.sequence(F.lit(first), F.lit(last - 1)), lambda i: ((own + i) % groups).cast("int"))
+        pairs = floors.select("chunk", F.explode(near).alias("grp"))
+
+        def tiles(blocks: DataFrame, keys: DataFrame, by: Column, most: int) -> DataFrame:
+            """Rows of blocks (with chunk and grp) and, for each chunk and grp of keys, its queries; together by chunk and grp."""
+            asked_rows = floors.join(keys, "chunk").withColumn("is_query", F.lit(True))
+            block_rows = blocks.withColumn("grp", by).withColumns({"is_query": F.lit(False), "floors": none})
+            return block_rows.select(*common).unionByName(asked_rows.select(*common)).repartition(min(most, 20000), "chunk", "grp")
+
+        if best is None:
+            visits = docs.join(pairs.withColumnRenamed("grp", "part"), "part")
+        else:
+            summaries = docs.drop("ids", "rows", "mat").withColumns({c: F.lit(None).cast("binary") for c in ("ids", "rows", "mat")})
+            some = (F.col("grp") / SUMMARIES).cast("int")
+            known = summaries.join(pairs.withColumnRenamed("grp", "part"), "part")
+            keys = pairs.select("chunk", some.alias("grp")).distinct()
+            tests = tiles(known, keys, (F.col("part") / SUMMARIES).cast("int"), max(cores, parts * -(-(last - first) // SUMMARIES)))
+            alive = through_scratch(tests.groupBy("chunk", "grp").applyInPandas(blocks_to_visit, "chunk long, part int, seq int"), "blocks-to-visit")
+            visits = docs.join(alive, ["part", "seq"])
+            pairs = alive.select("chunk", F.col("part").alias("grp")).distinct()
+        found = tiles(visits, pairs, F.col("part"), max(cores, parts * (last - first))).groupBy("chunk", "grp").applyInPandas(tile_search(k), FOUND)
+        order = Window.partitionBy("chunk", "q").orderBy(F.col("score").desc(), "vec_id", "row")
+        found = found if best is None else found.unionByName(best.drop("rank"))
+        best = through_scratch(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best-so-far")
+        release(spark)
+        first, width = last, width * WIDEN
+    return best.select("query_id", "rank", "vec_id", "score")

@@ -1,7 +1,10 @@
+import math
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from folioworks.llm import topk_search as tk
@@ -9,46 +12,58 @@ from folioworks.llm.url_filter import RULES, url_filter
 
 
 def brute(rows, k):
-    good = [(i, np.array([np.floor(64 * float(x)) for x in v])) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    dim = max((len(v) for _, v in good), default=0)
-    good = [(i, np.pad(v, (0, dim - len(v))).clip(-tk.LIMIT, tk.LIMIT)) for i, v in good]
-    queries = {}
-    for i, v in good:
-        if i % 20 == 0 and (i not in queries or tuple(v) < tuple(queries[i])):
-            queries[i] = v
+    """Counter of (query_id, rank, vec_id, score), in Python's integers; rows are told apart by place."""
+    good = [(i, [math.floor(Fraction(float(x)) * 64) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, qv in queries.items():
-        scored = sorted((-int(qv @ v), i) for i, v in good if i != q)[:k]
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    for at, (q, qv) in enumerate(good):
+        if q % 20 == 0:
+            scored = sorted((-min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(qv, v, strict=False)))), i) for place, (i, v) in enumerate(good) if place != at)[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return Counter(out)
 
 
-@pytest.mark.parametrize("group, block, chunk", [(16384, 256, 1024), (64, 16, 4)])
+def found(df):
+    return Counter(tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect())
+
+
+@pytest.mark.parametrize("group, block, chunk", [(32768, 256, 4096), (24, 8, 4)])
 def test_topk(spark, monkeypatch, group, block, chunk):
-    for name, value in (("GROUP", group), ("BLOCK", block), ("CHUNK", chunk)):
-        monkeypatch.setattr(tk, name, value)
+    monkeypatch.setattr(tk, "BLOCK", block)
+    monkeypatch.setattr(tk, "SUMMARIES", 3)
     rng = np.random.default_rng(1)
-    rows = [(i, [float(x) for x in np.round(rng.standard_normal(8) / 4, 2)]) for i in range(300)]
-    rows += [(i, rows[7][1]) for i in range(300, 420)]  # a very common vector: ties
+    rows = [(i, [float(x) for x in np.round(rng.standard_normal(8) / 4, 2)]) for i in range(200)]
+    rows += [(i, rows[7][1]) for i in range(300, 380)]  # a very common vector: ties
     rows += [(500, None), (None, rows[1][1]), (501, [None] * 8), (502, [float("nan")] * 8), (503, [float("inf")] + [0.0] * 7), (504, [1.0, 2.0]), (520, []), (3, rows[3][1])]
+    rows += [(40, rows[40][1])] * 2 + [(60, [float(x) for x in np.round(rng.standard_normal(8), 2)])] * 90  # ids of several rows, one of a third of all
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, score string").repartition(5)
-    got = Counter(tuple(r) for r in tk.topk_search(df).select("query_id", "rank", "vec_id", "score").collect())
-    assert got == brute(rows, 20)
+    assert found(tk.topk_search(df, group=group, chunk=chunk)) == brute(rows, 20)
+
+
+@pytest.mark.parametrize("top", [3e4, 1e6, 1e9, 1e17, 1e300, 1e308])
+def test_topk_large_components(spark, top):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in top * rng.uniform(-1, 1, 6)]) for i in range(50)] + [(100, [1.0] * 6), (120, [0.01, -0.01, 0.5, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(tk.topk_search(df, group=16, chunk=2)) == brute(rows, 20)
+
+
+def test_topk_of_the_contract(spark):
+    df = spark.createDataFrame([(0, [1.0]), (1, [20000.0]), (2, [30000.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in tk.topk_search(df).orderBy("rank").collect()] == [(0, 1, 2, 122880000), (0, 2, 1, 81920000)]
 
 
 def test_topk_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [-1.0, 0.0])], "vec_id long, embedding array<float>")
-    assert Counter(tuple(r) for r in tk.topk_search(df).collect()) == brute([(r.vec_id, list(r.embedding)) for r in df.collect()], 20)
+    assert found(tk.topk_search(df)) == brute([(r.vec_id, list(r.embedding)) for r in df.collect()], 20)
     assert tk.topk_search(df.limit(0)).count() == 0
 
 
-def test_large_components_stay_exact():
-    rng = np.random.default_rng(2)
-    vectors = rng.integers(-tk.LIMIT, tk.LIMIT, (90, 64))
-    blocks = [(np.arange(i, i + 30), vectors[i : i + 30].astype(np.int32)) for i in (0, 30, 60)]
-    row, ids, score = tk.search_tile(np.array([4]), vectors[4:5].astype(np.int32), np.full(1, tk.NONE), blocks, 5)
-    want = sorted(((-int(vectors[4] @ v), i) for i, v in enumerate(vectors) if i != 4))[:5]
-    assert sorted(zip((-score).tolist(), ids.tolist(), strict=True)) == want
+def test_later_rounds_get_fewer_blocks():
+    """Blocks whose bound is below all k-th scores are not sent."""
+    near, far = np.full((4, 2), 100, np.int8), np.full((4, 2), -100, np.int8)
+    asked = pd.DataFrame([{"chunk": 0, "is_query": True, "part": 0, "seq": 0, "n": 1, "dim": 2, "kind": "b", "mat": np.array([[1, 1]], np.int8).tobytes(), "floors": [{"q": 0, "floor": 50}]}])
+    known = pd.DataFrame([{"chunk": 0, "is_query": False, "part": p, "seq": 0, "n": 4, "dim": 2, "kind": "b", "tops": m.max(0).tobytes(), "lows": m.min(0).tobytes()} for p, m in ((1, near), (2, far))])
+    assert tk.blocks_to_visit(pd.concat([asked, known])).part.tolist() == [1]
 
 
 def url_parts(url):
