@@ -37,16 +37,37 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .asked import answered, answers_for, asked_by, parts_of, question, text_blocks
-from .common import partitions_for
+from .asked import answers_for, asked_by, parts_for, parts_of, question, text_blocks
+from .common import release, through_scratch
 
-TRIGGER = 8
+#: A trigger's window, and its last bytes, whose hash decides. A window whose last bytes come earlier in it too is none,
+#: so runs of one byte and of short periods do not consist of triggers.
+TRIGGER, HASHED = 16, 8
 MEAN_PHRASE = 24
 BOUND = np.uint64((1 << 32) // MEAN_PHRASE)
+BLOCK_BYTES = 2 << 20
+#: Positions that are worked on at once, so that memory for each byte of a long text stays small.
+SLICE = 1 << 19
 PHRASES, SEGMENTS, STRINGS = range(3)  # kinds of questions
 NOT, ALL, STANDS_FOR, LEFT = range(4)  # answers on segments: none repeated, all are, all are and others ask, not known
 
 
+def triggers(text: bytes) -> np.ndarray:
+    """First positions of the windows that are triggers."""
+    found = []
+    for at in range(0, len(text) - TRIGGER + 1, SLICE):
+        piece = np.frombuffer(text[at : at + SLICE + TRIGGER - 1], np.uint8)
+        h = np.ndarray((len(piece) - HASHED + 1,), "<u8", np.ascontiguousarray(piece), strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+        some = np.flatnonzero((h[TRIGGER - HASHED :] >> np.uint64(32)) < BOUND)
+        again = np.zeros(len(some), bool)
+        for i in range(TRIGGER - HASHED):
+            again |= h[some + i] == h[some + TRIGGER - HASHED]
+        found.append(some[~again] + at)
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
 class Parsed:
     """The parse of a block: triggers, phrases and segments."""
 
@@ -56,13 +77,7 @@ class Parsed:
         sizes = np.array(row["sizes"], np.int64)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        n = len(self.text)
-        padded = np.frombuffer(self.text + bytes(TRIGGER), np.uint8)
-        h = np.ndarray((n,), "<u8", padded, strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-        at = np.flatnonzero((h >> np.uint64(32)) < BOUND)
-        del h, padded
+        at = triggers(self.text)
         doc = np.searchsorted(self.starts, at, "right") - 1
         inside = at + TRIGGER <= self.ends[doc]
         self.at, self.doc = at[inside], doc[inside]
@@ -80,7 +95,7 @@ class Parsed:
         self.twice = (np.bincount(rank, minlength=len(self.distinct)) > 1).astype(np.uint8)
 
     def ask_phrases(self) -> Iterator[tuple]:
-        return question(self.distinct, self.twice, self.home, self.seq, self.parts)
+        return question(PHRASES, self.distinct, lambda s: self.twice[s].tobytes(), self.home, self.seq, self.parts)
 
     def segments(self) -> None:
         """Segments (first and last string, first and last trigger inside) that may be repeated, and bare strings."""
@@ -124,7 +139,7 @@ class Parsed:
     def ask_segments(self) -> Iterator[tuple]:
         self.segments()
         more = np.stack([self.cover, self.segment_twice], axis=1)
-        return question(self.core, more, self.home, self.seq, self.parts)
+        return question(SEGMENTS, self.core, lambda s: more[s].tobytes(), self.home, self.seq, self.parts)
 
     def strings(self) -> None:
         """Segments' answers, and the strings that are left, with their distinct hashes."""
@@ -132,24 +147,30 @@ class Parsed:
         self.verdict = np.frombuffer(b"".join(data), np.uint8) if data else np.zeros(0, np.uint8)
         open_ones = self.stands[self.verdict >= STANDS_FOR]
         spans = list(zip(self.first[open_ones].tolist(), self.end[open_ones].tolist(), strict=True)) + self.bare
+        self.string_spans = [(x, min(y, x + SLICE)) for a, y in spans for x in range(a, y, SLICE)]
         text, digest, length = self.text, xxhash.xxh3_128_digest, self.length
-        self.string_at = np.concatenate([np.arange(x, y) for x, y in spans]) if spans else np.zeros(0, np.int64)
-        raw = b"".join([digest(text[i : i + length]) for i in self.string_at.tolist()])
-        pair = np.frombuffer(raw, "<u8").reshape(-1, 2)
-        order = np.lexsort((pair[:, 1], pair[:, 0]))
-        pair = pair[order]
-        new = np.concatenate([[True], (pair[1:] != pair[:-1]).any(1)]) if len(order) else np.zeros(0, bool)
-        rank = np.cumsum(new) - 1
-        self.string_rank = np.empty(len(order), np.int64)
-        self.string_rank[order] = rank
-        self.pair = pair[new]
-        self.string_twice = (np.bincount(rank, minlength=len(self.pair)) > 1).astype(np.uint64)
+        firsts, counts, ranks, held = [], [], [], 0
+        waiting: list[bytes] = []
+        for i, (x, y) in enumerate(self.string_spans):
+            waiting += [digest(text[j : j + length]) for j in range(x, y)]
+            if len(waiting) >= SLICE or i == len(self.string_spans) - 1:
+                one, rank, count = distinct_pairs(np.frombuffer(b"".join(waiting), "<u8").reshape(-1, 2))
+                firsts.append(one)
+                counts.append(count)
+                ranks.append((rank + held).astype(np.int32))
+                held += len(one)
+                waiting = []
+        every = np.concatenate(firsts) if firsts else np.zeros((0, 2), np.uint64)
+        self.pair, rank, _ = distinct_pairs(every)
+        self.string_rank = [rank[r].astype(np.int32) for r in ranks]
+        total = np.bincount(rank, np.concatenate(counts) if counts else None, len(self.pair))
+        self.string_twice = (total > 1).astype(np.uint64)
 
     def ask_strings(self) -> Iterator[tuple]:
         self.segments()
         self.strings()
         more = np.stack([self.pair[:, 1], self.string_twice], axis=1)
-        return question(self.pair[:, 0].copy(), more, self.home, self.seq, self.parts)
+        return question(STRINGS, self.pair[:, 0].copy(), lambda s: more[s].tobytes(), self.home, self.seq, self.parts)
 
     def covered(self) -> np.ndarray:
         """Mark of each byte that a repeated string covers."""
@@ -162,12 +183,25 @@ class Parsed:
         change = np.zeros(len(self.text) + 1, np.int32)
         verdict = self.verdict[self.segment_rank]
         sure = (verdict == ALL) | (verdict == STANDS_FOR)
-        np.add.at(change, self.first[sure], 1)
-        np.add.at(change, self.end[sure] - 1 + self.length, -1)
-        one = self.string_at[often[self.string_rank] == 1]
-        np.add.at(change, one, 1)
-        np.add.at(change, one + self.length, -1)
-        return np.cumsum(change[:-1]) > 0
+        change[self.first[sure]] += 1  # no two segments, and no two strings, begin or end at the same byte
+        change[self.end[sure] - 1 + self.length] -= 1
+        flags = np.concatenate([often[r].astype(np.int8) for r in self.string_rank]) if self.string_rank else np.zeros(0, np.int8)
+        at = 0
+        for x, y in self.string_spans:
+            change[x:y] += flags[at : at + y - x]
+            change[x + self.length : y + self.length] -= flags[at : at + y - x]
+            at += y - x
+        return np.cumsum(change[:-1], dtype=np.int32) > 0
+
+
+def distinct_pairs(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows in order, the place of each row among them, and how often each occurs."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    new = np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(1)]) if len(order) else np.zeros(0, bool)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return pairs[new], rank, np.bincount(rank, minlength=int(new.sum()))
 
 
 def twice_or_more(keys: list[bytes], more: list[bytes]) -> list[bytes]:
@@ -237,20 +271,10 @@ SPANS = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, ke
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, spans (removed runs of bytes), kept (the bytes that stay; null unless with_text) and kept_sha256."""
     spark = docs.sparkSession
-    table = text_blocks(docs, id_col, text_col)
-    total = table.frame().agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = partitions_for(spark, total / 3)
-
-    def ask(kind: str):
-        return lambda row: getattr(Parsed(row, length, parts), kind)()
-
-    paths: list[str] = []
-    for kind, (name, work) in enumerate((("ask_phrases", twice_or_more), ("ask_segments", judge_segments), ("ask_strings", judge_strings))):
-        rows = asked_by(table.with_answers(*paths), ask(name))
-        paths.append(answered(rows, work, kind, name))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()), ("kept_sha256", pa.string())])
+    judges = {PHRASES: twice_or_more, SEGMENTS: judge_segments, STRINGS: judge_strings}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary()), ("kept_sha256", pa.string())])
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
@@ -269,4 +293,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, schema.types, strict=True)], schema=schema)
 
-    return table.with_answers(*paths).mapInArrow(cut, SPANS + ", kept_sha256 string")
+    with text_blocks(docs, id_col, text_col, BLOCK_BYTES) as table:
+        total = table.frame().agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = parts_for(spark, total / 3)
+        for name in ("ask_phrases", "ask_segments", "ask_strings"):
+            rows = asked_by(table.with_answers(*table.answers), lambda row, name=name: getattr(Parsed(row, length, parts), name)())
+            table.answered(rows, lambda kind, keys, more: (judges[kind](keys, more), None, None), name)
+            release(spark)
+        out = through_scratch(table.with_answers(*table.answers).mapInArrow(cut, SPANS + ", kept_sha256 string"), "kept-texts")
+    return out

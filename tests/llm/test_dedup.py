@@ -1,4 +1,5 @@
 import hashlib
+import pathlib
 import re
 from collections import Counter, defaultdict
 
@@ -148,12 +149,48 @@ def test_repeated_spans(docs, rows, length):
 
 
 def test_repeated_spans_in_shifted_contexts(spark, prose_of, monkeypatch):
-    from folioworks.llm import asked
+    from folioworks.llm import repeated_spans as spans
 
-    monkeypatch.setattr(asked, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(spans, "BLOCK_BYTES", 3000)
     core = prose_of(1, 60)
     texts = [prose_of(10 + i, 10 + i)[: 7 * i] + core[i : 300 + i % 3] + prose_of(50 + i, 12) for i in range(25)] + ["é" * 150, "zé" + "é" * 150, "-" * 450, "=" * 201, "=" * 200]
     raw = [t.encode() for t in texts]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     got = {r.doc_id: bytes(r.kept) for r in repeated_spans(df).collect()}
     assert [got[i] for i in range(len(raw))] == [k for k, _ in marked(raw, 200)]
+
+
+def test_text_without_triggers_takes_little_memory(tmp_path):
+    """16 MB of one byte: judged whole, within 40 bytes of memory for each of the text."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, tracemalloc
+import numpy as np
+from folioworks.llm import repeated_spans as rs
+def blocks(fill):
+    text = bytes([fill]) * (16 << 20)
+    row = {"home": 0, "seq": 0, "ids": [1], "sizes": [len(text)], "text": text, "answers": []}
+    work = {rs.PHRASES: rs.twice_or_more, rs.SEGMENTS: rs.judge_segments, rs.STRINGS: rs.judge_strings}
+    for name in ("ask_phrases", "ask_segments", "ask_strings"):
+        asked = list(getattr(rs.Parsed(row, 200, 1), name)())
+        for kind, part, home, seq, keys, more in asked:
+            row["answers"].append({"kind": kind, "seq": 0, "part": part, "data": work[kind]([keys], [more])[0]})
+    mark = rs.Parsed(row, 200, 1).covered()
+    assert len(mark) == len(text) and mark.all()
+blocks(45)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=str(pathlib.Path(__file__).parents[2]))
+    assert not done.returncode, done.stderr
+    assert int(done.stdout) * 1024 < 40 * (16 << 20) + (250 << 20)
+
+
+def test_runs_are_no_triggers():
+    from folioworks.llm import repeated_spans as rs
+
+    for period in range(1, 9):
+        for seed in range(40):
+            text = bytes((seed * 31 + i * 7) % 256 for i in range(period)) * (900 // period)
+            assert len(rs.triggers(text)) == 0

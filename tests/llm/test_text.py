@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from folioworks.llm import katz_lm, packing, piece_bpe, quality, secret_scan
+from folioworks.llm import katz_lm, packing, piece_bpe, quality, repeated_spans, secret_scan
 
 WORD_FILE, PIECE_FILE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "piece_bpe_32k.model"))
 ODD = ["  ", " ", "   ", "\n", " \n", "\n ", "\t", "\r\n", "a", "The", "the", "in", "é", "É", "日", "▁", "xxxxxxx", "😀", "=", "==", "ß", "0", "12", "</s>", "<|endoftext|>", "<|", "'s", "'LL", "'", "½", "ª", "\xa0", "\xad", "İ", "Σ", "\x00", "\x1c", "don't", "!", ".", "ing"]
@@ -153,59 +153,110 @@ def test_redaction(docs, rows):
     assert untouched <= {(r.doc_id, r.text, r.n_chars) for r in out.collect()}
 
 
-def katz(texts, train):
-    """Katz bigrams by dictionaries."""
-    seqs = [[*t.encode().lower().split(), b" "] for t in texts]
-    uni, bi = Counter(), Counter()
-    for s, t in zip(seqs, train, strict=True):
-        if t:
-            uni.update(s)
-            bi.update(zip([b" ", *s[:-1]], s, strict=True))
-    n, v = sum(uni.values()), len(uni)
-    count = lambda c: np.array([Counter(c.values()).get(r, 0) for r in range(katz_lm.K + 2)])
-    du, db = katz_lm.Discounts(count(uni)), katz_lm.Discounts(count(bi))
-    one = lambda d, c: float(d(np.array([c]))[0])
-    mass = sum(one(du, c) for c in uni.values())
-    scale = 1.0 if mass < n else n / (n + 1)
-    unknown = (1 - mass / n if mass < n else 1 / (n + 1)) if n else 1.0
-    word = lambda w: scale * one(du, uni[w]) / n if w in uni else unknown
-    after = defaultdict(list)
-    for (a, b), c in bi.items():
-        after[a].append((b, c))
-
-    def prob(a, b):
-        if a not in after:
-            return word(b)
-        kept = sum(one(db, c) for _, c in after[a])
-        total = uni[a]
-        full = kept >= total - 1e-9
-        seen = dict(after[a])
-        if b in seen:
-            return seen[b] / (total + 1) if full else one(db, seen[b]) / total
-        left = 1 / (total + 1) if full else 1 - kept / total
-        return left / (1 - sum(word(w) for w in seen)) * word(b)
-
-    for s in seqs:
-        yield len(s), sum(w in uni for w in s), n, sum(math.log10((uni.get(w, 0) + 0.1) / (n + 0.1 * (v + 1))) for w in s), sum(math.log10(prob(a, b)) for a, b in zip([b" ", *s[:-1]], s, strict=True)), (prob, uni)
-
-
-def test_katz(docs, rows, empty, monkeypatch):
+def kept_share(grams):
+    """Good-Turing: the share of a count that stays."""
+    n = Counter(grams.values())
+    for k in range(5, 0, -1):
+        common = (k + 1) * n[k + 1] / n[1] if n[1] else 1
+        if all(n[r] for r in range(1, k + 2)) and common < 1:
+            shares = [((r + 1) * n[r + 1] / (r * n[r]) - common) / (1 - common) for r in range(1, k + 1)]
+            if all(0 < x <= 1 for x in shares):
+                return lambda c: shares[c - 1] if c <= k else 1.0
+    return lambda c: 0.5 if c == 1 else 1.0
+
+
+class Katz:
+    """Katz backoff by dictionaries."""
+
+    def __init__(self, texts, train, order):
+        self.order, self.seqs = order, [[b" "] * (order - 1) + [*t.encode().lower().split(), b" "] for t in texts]
+        self.counts = [Counter() for _ in range(order)]
+        for s, t in zip(self.seqs, train, strict=True):
+            for i in range(order - 1, len(s)) if t else ():
+                for k in range(order):
+                    self.counts[k][tuple(s[i - k : i + 1])] += 1
+        self.share = [kept_share(c) for c in self.counts]
+        self.after = [defaultdict(dict) for _ in range(order)]
+        for k, grams in enumerate(self.counts):
+            for g, c in grams.items():
+                self.after[k][g[:-1]][g[-1]] = c
+        self.n, self.v, self.memo = sum(self.counts[0].values()), len(self.counts[0]), {}
+
+    def p(self, context, w):
+        k = len(context)
+        seen = self.after[k].get(context)
+        if not seen:
+            return self.p(context[1:], w) if k else 1.0
+        if (context, w) not in self.memo:
+            total = sum(seen.values())
+            lost = sum(c - self.share[k](c) * c for c in seen.values())
+            if lost < 1e-9:
+                total, lost = total + 1, 1
+                kept = seen.get(w, 0)
+            else:
+                kept = self.share[k](seen.get(w, 1)) * seen.get(w, 0)
+            less = 1.0 if not k else self.p(context[1:], w) / (1 - sum(self.p(context[1:], x) for x in seen)) if w not in seen else 0
+            self.memo[context, w] = kept / total if w in seen else lost / total * less
+        return self.memo[context, w]
+
+    def scores(self):
+        o = self.order - 1
+        for s in self.seqs:
+            uni = [self.counts[0].get((w,), 0) for w in s[o:]]
+            yield len(uni), sum(c > 0 for c in uni), self.n, sum(math.log10((c + 0.1) / (self.n + 0.1 * (self.v + 1))) for c in uni), sum(math.log10(self.p(tuple(s[i - o : i]), s[i])) for i in range(o, len(s)))
+
+
+def in_training(rows):
+    return [zlib.crc32(("null" if r[0] is None else str(r[0])).encode()) % 10 != 0 for r in rows]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_katz(docs, rows, empty, monkeypatch, order):
     monkeypatch.setattr(katz_lm, "CODED_BYTES", 2000)
-    train = [zlib.crc32(("null" if r[0] is None else str(r[0])).encode()) % 10 != 0 for r in rows]
+    train = in_training(rows)
     want = defaultdict(list)
-    for r, t, w in zip(rows, train, katz([r[1] or "" for r in rows], train), strict=True):
+    for r, t, w in zip(rows, train, Katz([r[1] or "" for r in rows], train, order).scores(), strict=True):
         want[r[0]].append((not t, *w[:3], round(w[3], 6), round(w[4], 6)))
     got = defaultdict(list)
-    for r in katz_lm.score_texts(docs).collect():
+    for r in katz_lm.score_texts(docs, order=order).collect():
         got[r.doc_id].append((r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
-    assert katz_lm.score_texts(empty).count() == 0
+    if order == 3:
+        assert katz_lm.score_texts(empty).count() == 0
+
+
+def test_katz_tables_score_other_texts(spark, docs, rows, monkeypatch, tmp_path):
+    """A stored model scores as the corpus that it comes from does, and its tables have every n-gram and context."""
+    monkeypatch.setattr(katz_lm, "CODED_BYTES", 3000)
+    train = in_training(rows)
+    model = Katz([r[1] or "" for r in rows], train, 3)
+    held = [(i, r[1]) for i, (r, t) in enumerate(zip(rows, train, strict=True)) if not t]
+    known = spark.createDataFrame([(r[0], r[1]) for r, t in zip(rows, train, strict=True) if t], "doc_id long, text string").repartition(3)
+    katz_lm.fit(known, str(tmp_path / "model"))
+    got = {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in katz_lm.score_with(spark.createDataFrame(held, "doc_id long, text string"), str(tmp_path / "model")).collect()}
+    want = [(*w[:3], round(w[3], 6), round(w[4], 6)) for w in model.scores()]
+    assert got == {i: want[i] for i, _ in held}
+    sizes = {(r.order, r.context): r["count"] for r in katz_lm.model_of(spark, str(tmp_path / "model")).groupBy("order", "context").count().collect()}
+    assert sizes == {(k + 1, False): len(c) for k, c in enumerate(model.counts)} | {(k + 1, True): len(model.after[k]) for k in (1, 2)}
 
 
 def test_katz_probabilities_add_up(rows):
-    *_, (prob, uni) = next(katz([r[1] or "" for r in rows], [True] * len(rows)))
-    for a in list(uni)[:40] + [b"never seen"]:
-        assert abs(sum(prob(a, b) for b in [*uni, b"\xff"]) - 1) < 1e-9
+    model = Katz([r[1] or "" for r in rows], [True] * len(rows), 3)
+    words = [w for w, in model.counts[0]]
+    for context in [g for g in model.counts[1]][:25] + [(b" ", b" "), (b"never", b"seen"), (b"never", words[3])]:
+        assert abs(sum(model.p(context, w) for w in [*words, b"\xff"]) - 1) < 1e-9
+
+
+@pytest.mark.parametrize("query", ["op2", "op3"])
+def test_few_buckets_and_no_table_left(spark, rows, query, monkeypatch):
+    df = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id long, text string").repartition(40)
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "4")
+    try:
+        run = katz_lm.score_texts if query == "op2" else repeated_spans.repeated_spans
+        assert run(df).count() == len(rows)
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("fw_")]
 
 
 def test_discounts_of_few_counts():
