@@ -46,13 +46,12 @@ END = b" "
 CODED_BYTES = 6 << 20
 #: Kinds of questions: an order's counts have its number, its contexts' weights that and CONTEXTS.
 CONTEXTS = 100
-WANTED, KNOWN, EVERY = range(3)
 
-CODED = "home long, seq int, ids array<long>, sizes array<long>, trains array<boolean>, end_word int, tokens binary, words binary"
+CODED = "home long, seq int, ids array<long>, sizes array<long>, trains array<boolean>, tokens binary, words binary"
 
 
 def coder(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Blocks of (task, doc_id, train, text): word numbers of all documents, and the words' hashes in order."""
+    """Blocks of (task, doc_id, train, text): word numbers of all documents (0 is the end), and the words' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, trains = 0, []
@@ -75,19 +74,24 @@ def coder(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
                 sizes.append(len(words) + 1)
                 tokens.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
                 tokens.append(np.zeros(1, np.int32))
-            digest = xxhash.xxh3_64_intdigest
-            hashes = np.fromiter(map(digest, number), np.uint64, len(number))
-            order = np.argsort(hashes, kind="stable")
-            rank = np.empty(len(order), np.int32)
-            rank[order] = np.arange(len(order))
-            row = [task * HOMES + seq % HOMES, seq, ids, sizes, trains[: len(ids)], int(rank[0]), rank[np.concatenate(tokens)].tobytes(), hashes[order].tobytes()]
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, number), "<u8", len(number))
+            row = [task * HOMES + seq % HOMES, seq, ids, sizes, trains[: len(ids)], packed_numbers(np.concatenate(tokens)), hashes.tobytes()]
             del trains[: len(ids)]
-            types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], ["home", "seq", "ids", "sizes", "trains", "end_word", "tokens", "words"])
+            types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], ["home", "seq", "ids", "sizes", "trains", "tokens", "words"])
 
     return run
 
 
+def packed_numbers(numbers: np.ndarray) -> bytes:
+    """Lowest bytes first, then the next, so that numbers that are mostly small are mostly zeros."""
+    return np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unpacked_numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+
+
 def packed_counts(counts: np.ndarray) -> bytes:
     """A byte for each count, and four more at the end for each that doesn't fit in one."""
     large = counts >= 255
@@ -185,44 +189,42 @@ class Grams:
     and the key of the words before each token."""
 
     def __init__(self, keys: np.ndarray, before: np.ndarray | None) -> None:
-        self.keys, self.at = np.unique(keys, return_inverse=True)
-        self.before = before
+        self.keys, at = np.unique(keys, return_inverse=True)
+        self.at, self.before = at.astype(np.int32), before
 
 
 class Coded:
     """A block: its tokens and their words' hashes."""
 
-    def __init__(self, row: dict, model: Model, contexts: int = 0) -> None:
-        """contexts: ask for the weights of those contexts that matter (WANTED), that are KNOWN, or of all (EVERY)."""
-        self.contexts = contexts
+    def __init__(self, row: dict, model: Model, every: bool = False) -> None:
+        """every: all contexts matter, not only those that texts outside of training have or that may lose nothing."""
+        self.every = every
         self.home, self.seq, self.answers, self.model = row["home"], row["seq"], row.get("answers"), model
-        self.words, self.tokens = np.frombuffer(row["words"], "<u8"), np.frombuffer(row["tokens"], np.int32)
+        self.words, self.tokens = np.frombuffer(row["words"], "<u8"), unpacked_numbers(row["tokens"])
         self.sizes = np.array(row["sizes"], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.train = np.repeat(np.array(row["trains"], bool), self.sizes)
-        self.end = self.words[row["end_word"]]
-        self.raw: dict[int, tuple[np.ndarray, np.ndarray | None]] = {}
-        self.done: dict[int, Grams] = {}
-
-    def keys_at(self, k: int) -> tuple[np.ndarray, np.ndarray | None]:
-        """Key of the n-gram that ends at each token, and of the words before that token."""
-        if k not in self.raw:
-            every = self.words[self.tokens]
-            if k == 1:
-                self.raw[1] = every, None
-            else:
+        self.end = self.words[0]
+        self.order, self.last, self.done = 0, np.zeros(0, np.uint64), Grams(np.zeros(0, np.uint64), None)
+
+    def grams(self, k: int) -> Grams:
+        """The n-grams of order k; those of one order are held at a time."""
+        if self.order > k:
+            self.order = 0
+        while self.order < k:
+            self.order += 1
+            every, before = self.words[self.tokens], None
+            if self.order > 1:
                 pad = np.array([self.end])
-                for _ in range(k - 2):
+                for _ in range(self.order - 2):
                     pad = mixed(pad, np.array([self.end]))
-                before = np.roll(self.keys_at(k - 1)[0], 1)
+                before = np.roll(self.last, 1)
                 before[self.starts] = pad[0]
-                self.raw[k] = mixed(before, every), before
-        return self.raw[k]
-
-    def grams(self, k: int) -> Grams:
-        if k not in self.done:
-            self.done[k] = Grams(*self.keys_at(k))
-        return self.done[k]
+                every = mixed(before, every)
+            self.last = every
+            if self.order == k:
+                self.done = Grams(every, before)
+        return self.done
 
     def answer(self, kind: int, keys: np.ndarray) -> list[tuple[bytes, int]]:
         """Answers and the number of keys each is about."""
@@ -248,67 +250,77 @@ class Coded:
             counts.append(unpacked_counts(data[2 * bits :], n))
         return np.concatenate(counts), np.concatenate(owned), np.concatenate(wanted)
 
-    def asked_contexts(self, k: int, total: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the contexts of order k whose weight is asked for, in order, and each token's place among them or -1.
+    def context_tokens(self, k: int, c: np.ndarray, total: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens whose context's weight matters to anyone, and those for which this block has to know it.
 
-        total: training count of each token's context; wanted: whether texts outside of training have it.
+        c, total: training counts of each token's n-gram and context; wanted: whether texts outside of training have the context.
         """
-        g = self.grams(k)
-        asked = (total > 0) & ((self.contexts == KNOWN) | wanted | (total >= 2 * self.model.discounts(k).least_whole)) | (self.contexts == EVERY)
-        keys, at = np.unique(g.before[asked], return_inverse=True)
-        place = np.full(len(total), -1, np.int64)
-        place[asked] = at
-        return keys, place
-
-    def levels(self, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """By order up to k: order, training count and ownership of each token's n-gram, count of its context, the
-        context's place among those asked for, and those keys. self.p has the tokens' probabilities by one order less
-        at each step, and by order k after the last one if this is scoring."""
-        docs, total, wanted = 0, None, None
+        d = self.model.discounts(k)
+        matter = (total > 0) & (self.every | wanted | (total >= 2 * d.least_whole))
+        return matter, matter & ((c == 0) | (d.stay(c) & (c < total)))
+
+    def levels(self, k: int, weigh: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """By order from 2 to k: order, training count and ownership of each token's n-gram, tokens whose context's
+        weight matters, and those that need it. self.p has the tokens' probabilities by one order less at each step, and
+        by order k after the last one if this is scoring; not weigh: no weights are known yet, so it has none."""
+        total = wanted = np.zeros(0)
         for n in range(1, k + 1):
             g = self.grams(n)
             counts, owned, other = self.counts(n)
             c = counts[g.at]
             if n == 1:
-                self.p = self.model.words(counts)[g.at]
+                self.p, self.known = self.model.words(counts)[g.at], c
                 ends = np.flatnonzero(g.keys == self.end)
                 docs = int(counts[ends[0]]) if len(ends) else 0
-                self.known = c
-                yield n, c, owned[g.at], None, None, None
             else:
-                keys, place = self.asked_contexts(n, total, wanted)
-                yield n, c, owned[g.at], total, place, keys
-                if n < k or self.scoring:
-                    self.p = self.probability(n, c, total, place, keys)
+                matter, needs = self.context_tokens(n, c, total, wanted)
+                yield n, c, owned[g.at], matter, needs
+                if weigh and (n < k or self.scoring):
+                    self.p = self.probability(n, c, total, needs)
             total, wanted = np.roll(c, 1), np.roll(other[g.at], 1)
             total[self.starts], wanted[self.starts] = docs, True
 
     scoring = False
 
-    def probability(self, k: int, c: np.ndarray, total: np.ndarray, place: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    def probability(self, k: int, c: np.ndarray, total: np.ndarray, needs: np.ndarray) -> np.ndarray:
         """Of each token in its context of k - 1 words, from the probabilities of one order less."""
         d = self.model.discounts(k)
-        got = self.answer(CONTEXTS + k, keys)
-        weights = np.append(np.concatenate([np.frombuffer(x, "<f8") for x, _ in got]) if got else np.zeros(0), 1.0)
-        w = weights[place]
+        keys, at = np.unique(self.grams(k).before[needs], return_inverse=True)
+        weights = np.frombuffer(b"".join(answers_for(self.answers, CONTEXTS + k, self.seq)), "<f8")
+        if len(weights) != len(keys):
+            raise ValueError("contexts and their weights do not fit")
+        w = np.ones(len(c))
+        w[needs] = weights[at]
         # A context that lost nothing gives one count more to the unseen words; its weight is negative.
-        whole = np.where(place >= 0, w < 0, d.stay(c) & (c == total))
+        whole = np.where(needs, w < 0, d.stay(c) & (c == total))
         safe = np.maximum(1, total) + whole
         return np.where(c > 0, np.where(whole, c, d(c)) / safe, np.where(total == 0, 1.0, np.abs(w) / safe) * self.p)
 
     def ask_contexts(self, k: int) -> Iterator[tuple]:
         """Of each context, over the n-grams that this block answers for: the mass of counts lost, and the probability,
-        by one order less, of the words seen."""
-        *_, (_, c, owned, _, place, keys) = self.levels(k)
+        by one order less, of the words seen. Contexts of which the block neither gives nor needs anything stay out."""
+        *_, (_, c, owned, matter, needs) = self.levels(k)
         g = self.grams(k)
         first = np.empty(len(g.keys), np.int64)
         first[g.at[::-1]] = np.arange(len(c))[::-1]
-        own = first[owned[first]]
-        own = own[place[own] >= 0]
+        gives = np.zeros(len(c), bool)
+        gives[first] = owned[first] & matter[first]
+        own, ask = np.flatnonzero(gives), np.flatnonzero(gives | needs)
+        keys, at = np.unique(g.before[ask], return_inverse=True)
+        place = np.empty(len(c), np.int64)
+        place[ask] = at
         lost = np.bincount(place[own], c[own] - self.model.discounts(k)(c[own]), len(keys))
         seen = np.bincount(place[own], self.p[own], len(keys))
+        has, asks = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        has[place[own]], asks[place[needs]] = True, True
         both = np.stack([lost, seen], axis=1)
-        return question(CONTEXTS + k, keys, lambda s: both[s].tobytes(), self.home, self.seq, self.model.parts)
+        return question(CONTEXTS + k, keys, lambda s: packed_bits(has[s]) + packed_bits(asks[s]) + both[s][has[s]].tobytes(), self.home, self.seq, self.model.parts)
+
+    def ask_weights(self) -> Iterator[tuple]:
+        """The contexts of all orders whose weight this block needs."""
+        for k, *_, needs in self.levels(self.model.order, False):
+            keys = np.unique(self.grams(k).before[needs])
+            yield from question(CONTEXTS + k, keys, lambda s: b"", self.home, self.seq, self.model.parts)
 
     def logs(self) -> tuple[np.ndarray, np.ndarray]:
         """Training count of each token, and log10 of its probability in its context."""
@@ -350,13 +362,15 @@ def sum_counts(keep: bool) -> Callable[[list[bytes], list[bytes]], Worked]:
 def sum_contexts(keep: bool) -> Callable[[list[bytes], list[bytes]], Worked]:
     def run(keys: list[bytes], more: list[bytes]) -> Worked:
         """Backoff weight of each context times its count; if it lost no mass, minus the inverse of the unseen words' mass."""
-        distinct, where, _, cuts = merged_keys(keys)
-        each = np.frombuffer(b"".join(more), "<f8").reshape(-1, 2)
-        lost, seen = np.bincount(where, each[:, 0]), np.bincount(where, each[:, 1])
+        distinct, where, sizes, cuts = merged_keys(keys)
+        has = np.concatenate([unpacked_bits(m, n) for m, n in zip(more, sizes, strict=True)])
+        asks = np.concatenate([unpacked_bits(m[-(-n // 8) :], n) for m, n in zip(more, sizes, strict=True)])
+        each = np.frombuffer(b"".join(m[2 * -(-n // 8) :] for m, n in zip(more, sizes, strict=True)), "<f8").reshape(-1, 2)
+        lost, seen = (np.bincount(where[has], x, len(distinct)) for x in each.T)
         unseen = np.maximum(1 - seen, 1e-12)
-        weight = np.where(lost > 0, lost / unseen, -1 / unseen)
-        table = table_of(distinct, weight.astype("<f8").tobytes()) if keep else None
-        return [x.astype("<f8").tobytes() for x in np.split(weight[where], cuts)], None, table
+        weight = np.where(lost > 0, lost / unseen, -1 / unseen).astype("<f8")
+        answers = [w[a].tobytes() for w, a in zip(np.split(weight[where], cuts), np.split(asks, cuts), strict=True)]
+        return answers, None, table_of(distinct, weight.tobytes()) if keep else None
 
     return run
 
@@ -377,14 +391,12 @@ def learn(table: BlockTable, order: int, keep: bool) -> tuple[Model, list[str]]:
     model = Model(order, parts_for(spark, 2 * n_tokens))
     paths = []
     for orders in ([1, 2][:order], *([k] for k in range(3, order + 1))):
-        asked = asked_by(table.frame(), lambda row, o=tuple(orders): Coded(row, model).ask_counts(*o))
-        paths.append(table.answered(asked, lambda _, keys, more: sum_counts(keep)(keys, more), "lm-counts"))
+        paths.append(table.answered(asked_by(table.frame(), lambda row, o=tuple(orders): Coded(row, model).ask_counts(*o)), lambda _, keys, more: sum_counts(keep)(keys, more), "lm-counts"))
         for k in orders:
             model.add(statistics(spark, paths[-1], k))
         release(spark)
     for k in range(2, order + 1):
-        asked = asked_by(table.with_answers(*paths), lambda row, k=k: Coded(row, model, KNOWN if keep else WANTED).ask_contexts(k))
-        paths.append(table.answered(asked, lambda _, keys, more: sum_contexts(keep)(keys, more), "lm-contexts"))
+        paths.append(table.answered(asked_by(table.with_answers(*paths), lambda row, k=k: Coded(row, model, keep).ask_contexts(k)), lambda _, keys, more: sum_contexts(keep)(keys, more), "lm-contexts"))
         release(spark)
     return model, paths
 
@@ -392,14 +404,14 @@ def learn(table: BlockTable, order: int, keep: bool) -> tuple[Model, list[str]]:
 OUT = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def scored(table: BlockTable, model: Model, paths: list[str], contexts: int = WANTED) -> DataFrame:
+def scored(table: BlockTable, model: Model, paths: list[str]) -> DataFrame:
     """The scores of all documents, written; table may go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                block, words = Coded(row, model, contexts), model.words
+                block, words = Coded(row, model), model.words
                 counts, logs = block.logs()
                 base = np.log10((counts + 0.1) / (words.n + 0.1 * (words.v + 1)))
                 known = np.add.reduceat((counts > 0).astype(np.int64), block.starts)
@@ -470,16 +482,9 @@ def score_with(docs: DataFrame, model_dir: str, id_col: str = "doc_id", text_col
     model = Model(r.order, r.parts, [np.array(s) for s in r.stats])
     tables = spark.read.schema("part int, data binary, kind int").parquet(f"{model_dir}/tables")
     with coded_table(docs, id_col, text_col, F.lit(False)) as table:
-
-        def ask_weights(row: dict) -> Iterator[tuple]:
-            block = Coded(row, model)
-            for k in range(2, model.order + 1):
-                keys = np.unique(block.grams(k).before)
-                yield from question(CONTEXTS + k, keys, lambda s: b"", block.home, block.seq, model.parts)
-
-        for ask in (lambda row: Coded(row, model).ask_counts(*range(1, model.order + 1)), ask_weights):
-            table.answers.append(looked_up(asked_by(table.frame(), ask), tables))
-        out = scored(table, model, table.answers, EVERY)
+        table.answers.append(looked_up(asked_by(table.frame(), lambda row: Coded(row, model).ask_counts(*range(1, model.order + 1))), tables))
+        table.answers.append(looked_up(asked_by(table.with_answers(*table.answers), lambda row: Coded(row, model).ask_weights()), tables))
+        out = scored(table, model, table.answers)
     return out.select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

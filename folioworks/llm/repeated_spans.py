@@ -297,8 +297,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         total = table.frame().agg(F.sum(F.octet_length("text"))).first()[0] or 0
         parts = parts_for(spark, total / 3)
         for name in ("ask_phrases", "ask_segments", "ask_strings"):
-            rows = asked_by(table.with_answers(*table.answers), lambda row, name=name: getattr(Parsed(row, length, parts), name)())
-            table.answered(rows, lambda kind, keys, more: (judges[kind](keys, more), None, None), name)
+            table.answered(asked_by(table.with_answers(*table.answers), lambda row, name=name: getattr(Parsed(row, length, parts), name)()), lambda kind, keys, more: (judges[kind](keys, more), None, None), name)
             release(spark)
         out = through_scratch(table.with_answers(*table.answers).mapInArrow(cut, SPANS + ", kept_sha256 string"), "kept-texts")
     return out
