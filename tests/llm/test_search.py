@@ -1,7 +1,9 @@
 import math
 import re
+import time
 from collections import Counter
 from fractions import Fraction
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -104,3 +106,55 @@ def test_mined_rules_block(spark):
     got = {r.page_id: r.verdict for r in url_filter(pages, labels).collect()}
     assert got[999] == "block" and got[998] == "allow"
     assert all(got[i] == "block" for i, *_ in bad) and all(got[i] == "allow" for i, *_ in good)
+
+
+def tokens_of(url):
+    host, path = url_parts(url)
+    query = re.search(r"\?([^#]*)", url or "")
+    parts = [("host:", x) for x in host.split(".")] + [("path:", x) for x in path.split("/")] + [("query:", x) for x in (query[1] if query else "").split("&")]
+    return frozenset(k + re.sub(r"\d+", "#", x) for k, x in parts if x)
+
+
+def brute_rules(urls, bad, least, confidence=0.6, ratio=1.5):
+    """All token combinations of labelled pages that are sure enough, the smallest only."""
+    pages = [(tokens_of(u), b) for u, b in zip(urls, bad, strict=True)]
+    share = sum(not b for b in bad) / len(bad)
+    seen = {frozenset(c) for t, b in pages if b for n in range(1, len(t) + 1) for c in combinations(sorted(t), n)}
+    rules = []
+    for c in sorted(seen, key=len):
+        n, m = sum(c <= t for t, _ in pages), sum(b for t, b in pages if c <= t)
+        if m >= least and m >= confidence * n and (n - m) * ratio <= share * n and not any(r <= c for r in rules):
+            rules.append(c)
+    return rules
+
+
+@pytest.mark.parametrize("base", [0.2, 0.8])
+def test_rules_as_by_brute_force(spark, base):
+    """Planted combinations at a low and a high share of bad pages: verdicts are those of all sure combinations."""
+    rng = np.random.default_rng(int(base * 10))
+    urls, bad = [], []
+    for i in range(400):
+        host, lang, ref = (str(rng.choice(x)) for x in (["alpha", "beta", "gamma"], ["en", "it"], ["a", "b", "c"]))
+        planted = (host == "alpha" and ref == "c") or (lang == "it" and host == "beta")
+        urls.append(f"https://{host}.example.org/{lang}/{i}?ref={ref}&v={i}")
+        bad.append(bool(rng.random() < (0.97 if planted else base)))
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if b else 1, 0) for i, b in enumerate(bad)], "doc_id long, quality int, toxic int")
+    rules = brute_rules(urls, bad, 10)
+    got = {r.page_id: (r.verdict, r.rules_met) for r in url_filter(pages, labels).collect()}
+    assert rules and any(m for _, m in got.values())
+    assert {i: v for i, (v, _) in got.items()} == {i: "block" if any(r <= tokens_of(u) for r in rules) else "allow" for i, u in enumerate(urls)}
+
+
+def test_many_shared_parameters_end(spark):
+    """18 parameters that all pages share, and 18 that most have, are mined in a moment; long tokens count whole."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(240):
+        some = "&".join(f"q{chr(97 + j)}=1" for j in range(18) if rng.random() < 0.95)
+        rows.append((i, f"https://h{i}.example.org/{'x' * 80}{'bad' if i % 4 == 0 else 'good'}?" + "&".join(f"p{chr(97 + j)}=1" for j in range(18)) + "&" + some, i % 4 == 0))
+    pages = spark.createDataFrame([(i, u) for i, u, _ in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if b else 1, 0) for i, _, b in rows], "doc_id long, quality int, toxic int")
+    began = time.time()
+    assert {r.page_id for r in url_filter(pages, labels).collect() if r.verdict == "block"} == {i for i, _, b in rows if b}
+    assert time.time() - began < 60
