@@ -3,13 +3,16 @@
 Bytes are embedded by a learned table, learned filters of ``WIDTH`` bytes run over the whole text at every second
 byte, and each filter is max-pooled over overlapping chunks of 512 bytes (448 apart). Over all chunks of a document
 the pooled filters are combined by their maximum, mean and minimum, which go through a hidden layer to one
-probability. The network is trained by Adam on a bounded sample of labelled rows: at most ``sample`` documents, those
-with the smallest hash of their id, each by at most ``crop`` bytes at a time. Scoring reads whole texts, in pieces, so a
-long document takes two bytes of memory for each of its own and the embedding of one piece.
+probability. The network is trained by Adam on a bounded sample of labelled rows: at most ``sample`` rows of docs that
+have a label, those with the smallest hash of their id, and of a text longer than ``crop`` bytes one window of that size
+for each epoch, cut out where it lies, at hashed places anywhere in the whole text; so the driver holds at most
+sample * epochs * crop bytes (197 MB). Scoring reads whole texts, in pieces, so a long document takes two bytes of
+memory for each of its own and the embedding of one piece.
 
 Defined results: null and empty texts get the score of an empty text; without labelled rows of both kinds the score is
-the share of label 1 in the sample (0.5 without labels); null labels are left out, of several labels of an id the
-smallest counts; repeated rows each give a row; an empty table gives no rows; only the named columns are read.
+the share of label 1 in the sample (0.5 without labels); null labels and labels of ids that docs does not have are left
+out, of several labels of an id the smallest counts; repeated rows each give a row; a text of any length is scored
+whole; an empty table gives no rows; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, doc_texts, text_batches
@@ -27,6 +30,7 @@ DIM, WIDTH, FILTERS, HIDDEN = 8, 8, 32, 32
 STEP, CELL, CHUNK, STRIDE = 2, 64, 8, 7  # bytes between filter places, bytes in a cell, cells in a chunk, between chunks
 PAD = 256
 PIECE = 1 << 19
+EPOCHS, CROP = 8, 6144
 
 Model = dict[str, np.ndarray]
 
@@ -147,20 +151,19 @@ def gradients(model: Model, texts: list[bytes], labels: np.ndarray) -> Model:
     return g
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, batch: int = 64, rate: float = 0.004, crop: int = 6144, seed: int = 7) -> Model:
-    """Adam over shuffled batches; a text longer than crop gives another window of that size each time."""
+def train(texts: list[list[bytes]], labels: np.ndarray, epochs: int = EPOCHS, batch: int = 64, rate: float = 0.004, seed: int = 7) -> Model:
+    """Adam over shuffled batches; each text is given by its windows, of which each epoch takes another."""
     model, r = fresh(seed), np.random.default_rng(seed)
     share = float(np.clip(labels.mean(), 0.001, 0.999))
     model["b2"][:] = np.log(share / (1 - share))
     first = {k: np.zeros_like(x) for k, x in model.items()}
     second = {k: np.zeros_like(x) for k, x in model.items()}
     total, step = epochs * -(-len(texts) // batch), 0
-    for _ in range(epochs):
+    for epoch in range(epochs):
         order = r.permutation(len(texts))
         for i in range(0, len(order), batch):
             some = order[i : i + batch]
-            cuts = [int(r.integers(0, max(1, len(texts[j]) - crop + 1))) for j in some]
-            g = gradients(model, [texts[j][c : c + crop] for j, c in zip(some, cuts, strict=True)], labels[some])
+            g = gradients(model, [texts[j][epoch % len(texts[j])] for j in some], labels[some])
             step += 1
             now = rate * (1 - step / (total + 1))
             for k in model:
@@ -170,18 +173,28 @@ def train(texts: list[bytes], labels: np.ndarray, epochs: int = 8, batch: int =
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int, held_mod: int) -> tuple[list[bytes], np.ndarray]:
-    """At most sample labelled texts outside of the held-out fold, with their labels."""
+def windows(text: Column, crop: int, epochs: int) -> Column:
+    """The bytes of a text, or of a longer one windows of crop bytes, at hashed places that may be anywhere in it."""
+    data, size = text.cast("binary"), F.octet_length(text)
+    at = lambda i: F.pmod(F.xxhash64(F.col("doc_id"), size, i), size - crop + 1).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), F.lit(epochs - 1)), lambda i: F.substring(data, at(i) + 1, F.lit(crop)))
+    return F.when(size <= crop, F.array(data)).otherwise(cut)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int, held_mod: int, crop: int, epochs: int) -> tuple[list[list[bytes]], np.ndarray]:
+    """Windows of at most sample labelled texts outside of the held-out fold, with their labels."""
     marks = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["quality"].cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
     marks = marks.where(crc_mod("doc_id", held_mod) != 0).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # a bounded table
-    rows = doc_texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", F.substring("text", 1, 1 << 16).alias("text"), "quality")
-    got = sorted(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect(), key=lambda x: (x.doc_id, x.text))
-    return [x.text.encode() for x in got], np.array([x.quality for x in got], np.float32)
+    ids = docs.select(docs[id_col].cast("long").alias("doc_id"))
+    chosen = marks.join(ids, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # of the labels that docs has
+    rows = doc_texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # at most sample rows are sent
+    rows = rows.select("doc_id", "quality", F.xxhash64("text").alias("hash"), windows(F.col("text"), crop, epochs).alias("windows"))
+    got = sorted(rows.orderBy(F.xxhash64("doc_id"), "doc_id", "hash").limit(sample).collect(), key=lambda x: (x.doc_id, x.hash))
+    return [[bytes(w) for w in x.windows] for x in got], np.array([x.quality for x in got], np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 4000, held_mod: int = 5) -> Model | float:
-    texts, y = labelled_sample(docs, labels, id_col, text_col, sample, held_mod)
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 4000, held_mod: int = 5, crop: int = CROP) -> Model | float:
+    texts, y = labelled_sample(docs, labels, id_col, text_col, sample, held_mod, crop, EPOCHS)
     if len(set(y.tolist())) < 2:
         return float(y.mean()) if len(y) else 0.5
     return train(texts, y)

@@ -308,3 +308,39 @@ def test_gradients():
         down = loss()
         model[name][i] = old
         assert abs((up - down) / 6e-3 - g[name][i]) < 0.1 * abs(g[name][i]) + 1e-3, name
+
+
+def plain_score(model, text):
+    """The network by loops: filters at every second byte, their maxima in chunks of 8 cells of 64 bytes, 7 apart."""
+    n_cells = (len(text) + quality.WIDTH + quality.CELL - 1) // quality.CELL
+    line = [quality.PAD] * quality.WIDTH + list(text) + [quality.PAD] * (n_cells * quality.CELL - len(text))
+    at = {}
+    for i in range(0, n_cells * quality.CELL, quality.STEP):
+        seen = np.concatenate([model["embed"][b] for b in line[i : i + quality.WIDTH]]).astype(float)
+        at.setdefault(i // quality.CELL, []).append(seen @ model["filters"].astype(float) + model["bias"])
+    cells = [np.max(at[c], axis=0) for c in range(n_cells)]
+    firsts = range(0, max(1, n_cells - 1), quality.STRIDE)
+    chunks = np.maximum(0, [np.max(cells[f : f + quality.CHUNK], axis=0) for f in firsts])
+    v = np.concatenate([chunks.max(0), chunks.mean(0), chunks.min(0)])
+    hidden = np.maximum(0, v @ model["w1"].astype(float) + model["b1"])
+    return 1 / (1 + math.exp(-(hidden @ model["w2"].astype(float) + model["b2"][0])))
+
+
+def test_score_as_by_loops(prose_of):
+    model = quality.fresh(11)
+    model["bias"] += np.random.default_rng(1).standard_normal(quality.FILTERS).astype(np.float32) / 5
+    texts = [b"", b"a", b"x" * 64, prose_of(1, 8).encode(), prose_of(2, 90).encode(), "Gr\u00fc\u00dfe \u65e5\u672c ".encode() * 90, prose_of(3, 700).encode()]
+    assert np.allclose(quality.score(model, texts), [plain_score(model, t) for t in texts], atol=1e-4)
+
+
+def test_sample_is_of_labels_that_the_table_has(spark, prose_of):
+    """Two million labels of other ids do not use up the sample, and windows reach the end of long texts."""
+    good = [(i, prose_of(i, 60), 1) for i in range(200)]
+    bad = [(1000 + i, " ".join(w.upper() + "!!" for w in prose_of(i, 60).split()), 0) for i in range(100)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in good + bad], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in good + bad], "doc_id long, quality int").unionByName(spark.range(10_000, 2_010_000).selectExpr("id as doc_id", "cast(id % 2 as int) as quality"))
+    right = [(r.predicted == 1) == (r.doc_id < 1000) for r in quality.classify(docs, labels).collect()]
+    assert len(right) == 300 and np.mean(right) > 0.95
+    long = spark.createDataFrame([(1, "a" * 100_000 + "b" * 100_000)], "doc_id long, text string")
+    cut, _ = quality.labelled_sample(long, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), "doc_id", "text", 10, 5, 6144, 8)
+    assert len(cut[0]) == 8 and {len(w) for w in cut[0]} == {6144} and any(b"b" in w for w in cut[0])
