@@ -5,8 +5,9 @@ folder. Runs then meet in rounds: a round takes ``fan_in`` neighbouring runs to
 wider fan, and keeps for each digest the smallest identifier and the summed count. A hot group arrives in a round as
 one row for each run that is left, never as its members. A digest is SHA-256 together with the byte length and XXH64
 of the normalised text, which are compared at every level: two texts that differ would have to agree on all three.
+Up to ``fan_in`` runs are merged in the last round alone; above that there is a round for each further power of it.
 
-Defined results: null text counts as empty; null ids come after all others; of rows that share id and text exactly
+Defined results: null text counts as empty; a text of any length is hashed whole; null ids come after all others; of rows that share id and text exactly
 one is kept (the first by input partition and place); an empty table gives no rows; other columns are not read.
 """
 
@@ -32,7 +33,7 @@ def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return through_scratch(rows.sortWithinPartitions(*KEY), "digest-runs")
 
 
-def merge_runs(runs: DataFrame, fan_in: int = 16) -> DataFrame:
+def merge_runs(runs: DataFrame, fan_in: int = 8) -> DataFrame:
     """Merge the runs round by round to one row per digest: first (null_id, doc_id, row) and n."""
     last = runs.agg(F.max("run")).first()[0]
     left = 0 if last is None else last + 1
@@ -43,7 +44,7 @@ def merge_runs(runs: DataFrame, fan_in: int = 16) -> DataFrame:
     return merged.groupBy(*KEY).agg(F.min("first").alias("first"), F.sum("n").alias("n"))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 16) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 8) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of docs."""
     runs = digest_runs(docs, id_col, text_col)
     groups = merge_runs(runs, fan_in).where("n > 1").select(*(F.col(c).alias("g_" + c) for c in KEY), "first", "n")

@@ -56,7 +56,7 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan(read_table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied")
+    return secret_scan(read_table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied", "most_owners", "most_repos")
 
 
 def op10_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,22 +89,22 @@ ASSIGN_SQL = ASSIGN.replace("'", "''")
 OP9_SQL = rf"""
 with d as (select row_number() over () as row, doc_id, source, coalesce(text, '') as t from documents),
 m as (
-  select row, source, 0 as k, 12 as least, regexp_extract_all(t, '{ASSIGN_SQL}', 0) as w, regexp_extract_all(t, '{ASSIGN_SQL}', 2) as v, string_split_regex(t, '{ASSIGN_SQL}') as g from d
-  union all select row, source, 1, 18, regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'), string_split_regex(t, 'AKIA[A-Z0-9]+') from d
-  union all select row, source, 2, 16, regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'), string_split_regex(t, '[0-9a-f]+') from d
-  union all select row, source, 3, 20, regexp_extract_all(t, '{CANDIDATE}'), regexp_extract_all(t, '{CANDIDATE}'), string_split_regex(t, '{CANDIDATE}') from d),
-e as (select row, source, k, least, unnest(w) as w, unnest(v) as v, unnest(g[1:len(w)]) as g, generate_subscripts(w, 1) as i from m where len(w) > 0),
-s as (select row, source, k, v, least, sum(length(g) + length(w)) over (partition by row, k order by i) - length(w) as a, sum(length(g) + length(w)) over (partition by row, k order by i) as z from e),
+  select row, doc_id, source, 0 as k, 12 as least, regexp_extract_all(t, '{ASSIGN_SQL}', 0) as w, regexp_extract_all(t, '{ASSIGN_SQL}', 2) as v, string_split_regex(t, '{ASSIGN_SQL}') as g from d
+  union all select row, doc_id, source, 1, 18, regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'), string_split_regex(t, 'AKIA[A-Z0-9]+') from d
+  union all select row, doc_id, source, 2, 16, regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'), string_split_regex(t, '[0-9a-f]+') from d
+  union all select row, doc_id, source, 3, 20, regexp_extract_all(t, '{CANDIDATE}'), regexp_extract_all(t, '{CANDIDATE}'), string_split_regex(t, '{CANDIDATE}') from d),
+e as (select row, doc_id, source, k, least, unnest(w) as w, unnest(v) as v, unnest(g[1:len(w)]) as g, generate_subscripts(w, 1) as i from m where len(w) > 0),
+s as (select row, doc_id, source, k, v, least, sum(length(g) + length(w)) over (partition by row, k order by i) - length(w) as a, sum(length(g) + length(w)) over (partition by row, k order by i) as z from e),
 base as (select * from s where k < 3 and length(v) >= least),
 more as (select * from s where k = 3 and regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Za-z]') and not exists (from base b where b.row = s.row and b.a < s.z and s.a < b.z)),
 every as (select * from base union all select * from more),
-owners as (select v, count(*) as n from (select distinct v, source from every) group by v),
-judged as (select every.*, n <= 2 as live, ['assign', 'access', 'hex', 'live'][k + 1] || ':' || cast(a as bigint) || ':' || cast(z as bigint) as written from every join owners using (v)),
+owners as (select v, count(distinct coalesce(source, chr(1))) as n_owners, count(*) as n_repos from (select distinct v, source, doc_id from every) group by v),
+judged as (select every.*, n_owners <= 2 and n_repos <= 10 as live, ['assign', 'access', 'hex', 'live'][k + 1] || ':' || cast(a as bigint) || ':' || cast(z as bigint) as written from every join owners using (v)),
 sums as (
   select row, count(*) filter (where k = 0) as n_assign, count(*) filter (where k = 1) as n_access, count(*) filter (where k = 2) as n_hex, string_agg(written, ',' order by a, k) filter (where k < 3) as base,
-    string_agg(written, ',' order by a, k) filter (where k < 3 or live) as spans, count(*) filter (where k < 3 and live) as n_live, count(*) filter (where k < 3 and not live) as n_copied from judged group by row)
+    string_agg(written, ',' order by a, k) filter (where k < 3 or live) as spans, count(*) filter (where k < 3 and live) as n_live, count(*) filter (where k < 3 and not live) as n_copied, max(n_owners) as most_owners, max(n_repos) as most_repos from judged group by row)
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
-  coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+  coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied, coalesce(most_owners, 0) as most_owners, coalesce(most_repos, 0) as most_repos
 from d left join sums using (row)
 """
 

@@ -3,15 +3,16 @@
 Three shapes are always secrets: an assignment to a password-like name, an access key id, and a long run of hex
 digits. Beside these the scan takes credential-shaped tokens (long, of letters and digits) as candidates. Every
 candidate value is hashed, and its hash is counted over the corpus by distinct repository and distinct owner, in two
-levels so that a value that stands in a third of all rows is summed before it is shuffled. A value of many owners is a
-widely copied example; a value of few owners looks live. Live candidates become further spans; base spans always stay,
+levels so that a value that stands in a third of all rows is summed before it is shuffled. A value of many owners, or of
+many repositories of the same few, is a widely copied example; a value of few of both looks live. Live candidates become further spans; base spans always stay,
 and carry the same verdict for whoever wants it.
 
 Positions come from the regex engine alone: the pieces between matches (split) and the matches (extract) alternate, so
 their running lengths are the matches' places, in code points.
 
-Defined results: null text is empty; null ids, repositories and owners are values like any other; repeated rows each
-give a row; an empty table gives no rows; only the named columns are read.
+Defined results: null text is empty; a text of any length is scanned whole; null ids, repositories and owners are
+values like any other; repeated rows each give a row, and count as one repository; an empty table gives no rows; only
+the named columns are read.
 """
 
 from __future__ import annotations
@@ -38,21 +39,39 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def running(values: Column) -> Column:
-    """Running sums of an array of int."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
-    return F.aggregate(values, zero, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.array_append(acc["all"], acc["at"] + x).alias("all")))["all"]
+def running(values: Column, zero: int, join: Callable[[Column, Column], Column]) -> Column:
+    """Running sums, maxima or the like of an array of int."""
+    begin = F.struct(F.lit(zero).alias("at"), F.array().cast("array<int>").alias("all"))
+    return F.aggregate(values, begin, lambda acc, x: F.struct(join(acc["at"], x).alias("at"), F.array_append(acc["all"], join(acc["at"], x)).alias("all")))["all"]
 
 
-def running_starts(steps: Column, block: int = 256) -> Column:
-    """Running sums in two levels, so that texts of very many matches don't copy a growing array at each."""
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / block).cast("int")), lambda c: F.slice(steps, c * block + 1, block))
+def running_by_blocks(values: Column, zero: int, join: Callable[[Column, Column], Column], block: int = 256) -> Column:
+    """running in two levels, so that texts of very many matches don't copy a growing array at each."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int")), lambda c: F.slice(values, c * block + 1, block))
 
     def joined(parts: Column) -> Column:
         lasts = F.transform(parts, lambda p: F.element_at(p, -1))
-        return let(F.concat(F.array(F.lit(0)), running(lasts)), lambda bases: F.flatten(F.transform(parts, lambda p, i: F.transform(p, lambda x: x + F.get(bases, i)))))
+        return let(F.concat(F.array(F.lit(zero)), running(lasts, zero, join)), lambda bases: F.flatten(F.transform(parts, lambda p, i: F.transform(p, lambda x: join(x, F.get(bases, i))))))
 
-    return let(F.transform(blocks, running), joined)
+    return let(F.transform(blocks, lambda p: running(p, zero, join)), joined)
+
+
+def added(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def clear_of(more: Column, base: Column) -> Column:
+    """The spans of more (kind 3) that overlap no span of base, in time linear in both: a span is clear if no base span
+    before it, in order of start, reaches beyond its start, and the next one begins at or after its end."""
+    none = F.lit(-(1 << 30))
+
+    def kept(e: Column) -> Column:
+        reach = running_by_blocks(F.transform(e, lambda x: F.when(x["kind"] < 3, x["end"]).otherwise(none)), -(1 << 30), F.greatest)
+        coming = F.reverse(running_by_blocks(F.transform(F.reverse(e), lambda x: F.when(x["kind"] < 3, -x["start"]).otherwise(none)), -(1 << 30), F.greatest))
+        rows = F.arrays_zip(e.alias("x"), reach.alias("reach"), coming.alias("coming"))
+        return F.transform(F.filter(rows, lambda r: (r["x"]["kind"] == 3) & (r["reach"] <= r["x"]["start"]) & (-r["coming"] >= r["x"]["end"])), lambda r: r["x"])
+
+    return F.when((F.size(more) == 0) | (F.size(base) == 0), more).otherwise(let(F.array_sort(F.concat(base, more)), kept))
 
 
 def found(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
@@ -65,7 +84,7 @@ def found(text: Column, pattern: str, group: int, least: int, kind: int) -> Colu
         # A match begins after its own gap and all gaps and matches before it.
         steps = F.transform(m["w"], lambda w, i: F.length(F.get(m["g"], i)) + F.when(i > 0, F.length(F.get(m["w"], i - 1))).otherwise(0))
         return F.transform(
-            F.arrays_zip(running_starts(steps).alias("s"), m["w"].alias("w"), m["v"].alias("v")),
+            F.arrays_zip(running_by_blocks(steps, 0, added).alias("s"), m["w"].alias("w"), m["v"].alias("v")),
             lambda x: F.struct(x["s"].alias("start"), F.lit(kind).alias("kind"), (x["s"] + F.length(x["w"])).alias("end"), x["v"].alias("value")),
         )
 
@@ -86,9 +105,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
     parts = [F.coalesce(F.when(w, found(text, pattern, group, least, k)), none).cast(SPANS) for k, (w, (_, pattern, group, least)) in enumerate(zip(worth, shapes, strict=True))]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"), docs[repo_col].cast("string").alias("repo"), docs[owner_col].cast("string").alias("owner"), text_or_empty(docs, text_col).alias("t"))
     rows = rows.select("row", "doc_id", "repo", "owner", F.xxhash64("t").alias("text_hash"), F.array_sort(F.concat(*parts[:3])).alias("base"), parts[3].alias("more"))
-    clash = lambda x: F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
     mixed = lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]")
-    return rows.withColumn("more", F.filter("more", lambda x: mixed(x) & ~clash(x)))
+    return rows.withColumn("more", clear_of(F.filter("more", mixed), F.col("base")))
 
 
 def ownership(spans: DataFrame) -> DataFrame:
@@ -109,24 +127,26 @@ def of_kind(kind: int) -> Column:
     return F.size(F.filter("base", lambda x: x["kind"] == kind))
 
 
-def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", max_owners: int = 2) -> DataFrame:
-    """One row per row of docs: doc_id, base and added spans, and how many base values look live or copied.
+def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source", max_owners: int = 2, max_repos: int = 10) -> DataFrame:
+    """One row per row of docs: doc_id, base and added spans, how many base values look live or copied, and the most
+    owners and repositories that any of its values has.
 
-    max_owners: a value that more distinct owners hold is a widely copied example.
+    max_owners, max_repos: a value that more distinct owners or repositories hold is a widely copied example.
     """
     spans = through_scratch(scan(docs, id_col, text_col, repo_col, owner_col), "secret-spans")
-    live = ownership(spans).where(F.col("n_owners") <= max_owners).select("hash", F.lit(True).alias("live"))
+    held = ownership(spans).select("hash", "n_owners", "n_repos", ((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)).alias("live"))
     each = spans.select("row", F.explode(F.concat("base", "more")).alias("x")).withColumn("hash", F.sha2(F.col("x.value").cast("binary"), 256))
-    judged = each.join(live, "hash", "left").groupBy("row").agg(
+    judged = each.join(held, "hash").groupBy("row").agg(
         F.array_sort(F.collect_list(F.when((F.col("x.kind") == 3) & F.col("live"), F.col("x")))).alias("added"),
-        F.count_if((F.col("x.kind") < 3) & F.col("live")).alias("n_live"), F.count_if((F.col("x.kind") < 3) & F.col("live").isNull()).alias("n_copied"),
+        F.count_if((F.col("x.kind") < 3) & F.col("live")).alias("n_live"), F.count_if((F.col("x.kind") < 3) & ~F.col("live")).alias("n_copied"),
+        F.max("n_owners").alias("most_owners"), F.max("n_repos").alias("most_repos"),
     )
     out = spans.select("row", "doc_id", "text_hash", "base").join(judged, "row", "left").withColumn("added", F.coalesce("added", F.array().cast(SPANS)))
     counts = [of_kind(k).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
     return out.select(
         "row", "doc_id", "text_hash", *counts, F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         written(F.array_sort(F.concat("base", "added"))).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_copied", "most_owners", "most_repos")),
         F.transform(F.array_sort(F.concat("base", "added")), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("places"),
     )
 
@@ -145,9 +165,9 @@ def redact(text: Column, places: Column, mark: str = "[SECRET]") -> Column:
     return F.aggregate(places, begin, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
 
 
-def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", max_owners: int = 2) -> DataFrame:
+def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", max_owners: int = 2, max_repos: int = 10) -> DataFrame:
     """docs with all base spans and live spans of its texts replaced; length_col, if there, follows the text."""
-    found = secret_scan(docs, id_col, text_col, id_col, "source" if "source" in docs.columns else id_col, max_owners).where(F.size("places") > 0)
+    found = secret_scan(docs, id_col, text_col, id_col, "source" if "source" in docs.columns else id_col, max_owners, max_repos).where(F.size("places") > 0)
     found = found.groupBy(F.col("doc_id").alias("fw_id"), F.col("text_hash").alias("fw_hash")).agg(F.any_value("places").alias("fw_places"))
     same = docs[id_col].cast("long").eqNullSafe(found["fw_id"]) & (F.xxhash64(text_or_empty(docs, text_col)) == found["fw_hash"])
     out = docs.join(found.hint("shuffle_hash"), same, "left")

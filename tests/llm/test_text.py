@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from folioworks.llm import katz_lm, packing, piece_bpe, quality, repeated_spans, secret_scan
@@ -142,6 +144,31 @@ def test_ownership_divides_copied_from_live(spark):
     assert clean[99] == "see [SECRET] here" and clean[3] == rows[3][1]
 
 
+def test_repositories_of_one_owner_count(spark):
+    """A value that one owner has in 1000 repositories is an example; one in 3 of them looks live."""
+    copied, live = "AbCdEfGhIjKlMnOpQr0123", "zYxWvUtSrQpOnMlKj98765"
+    rows = [(i, f"see {copied} here", "owner") for i in range(1000)] + [(2000 + i % 3, f"see {live} here", "owner") for i in range(30)]
+    got = secret_scan.secret_scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert Counter((r.spans, r.most_owners, r.most_repos) for r in got) == {("", 1, 1000): 1000, (f"live:4:{4 + len(live)}", 1, 3): 30}
+
+
+def test_many_candidates_and_base_spans_in_one_text(spark):
+    """Candidates that overlap base spans in any way go, in time that does not multiply their numbers."""
+    parts = ["token=" + "Ab1" * 8, "Zz9_" * 6 + str(1), "x0123456789abcdef0123456789abcdefQ", "AKIA" + "B2" * 9, "pure" * 7]
+    text = " ".join(parts[i % 5] + str(i) for i in range(20000))
+    began = time.time()
+    (r,) = secret_scan.scan(spark.createDataFrame([(1, text, "o")], "doc_id long, text string, source string")).select(F.transform("more", lambda x: F.struct(x["start"], x["end"])).alias("more")).collect()
+    base = base_spans(text)
+    want, at, reach = [], 0, 0
+    for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", text):
+        while at < len(base) and base[at][0] < m.end():
+            reach, at = max(reach, base[at][2]), at + 1
+        if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and reach <= m.start():
+            want.append((m.start(), m.end()))
+    assert [tuple(x) for x in r.more] == want and len(want) > 4000
+    assert time.time() - began < 60
+
+
 def test_redaction(docs, rows):
     out = secret_scan.redact_secrets(docs)
     assert out.columns == docs.columns and out.schema["n_chars"] == docs.schema["n_chars"] and out.count() == len(rows)
