@@ -72,6 +72,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A side of a join is sent to all executors if it has at most so many bytes by a check of its rows.
+SMALL_SIDE = 64 << 20
+
+
+def checked_side(side: DataFrame, n_bytes: Column) -> DataFrame:
+    """side, which is written, marked for a broadcast if its rows have at most SMALL_SIDE bytes; beyond that for a
+    shuffled join, which moves the other side too."""
+    total = side.agg(F.sum(n_bytes.cast("long"))).first()[0] or 0
+    return F.broadcast(side) if total <= SMALL_SIDE else side.hint("shuffle_hash")
+
+
+def as_one(docs: DataFrame, id_col: str) -> DataFrame:
+    """(doc, doc_id): each row of docs as a struct, so that no name of docs can clash with others'."""
+    return docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs[id_col].cast("long").alias("doc_id"))
+
+
 def text_or_empty(docs: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(docs[text_col].cast("string"), F.lit(""))
 

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE_SPACE, text_or_empty, through_scratch
+from .common import WHITE_SPACE, as_one, checked_side, text_or_empty, through_scratch
 
 KEY = ["sha", "n_bytes", "xx"]
 
@@ -63,20 +63,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that decisions (of exact_dedup) keep, with docs' own columns.
 
-    An anti join takes out the ids of which not all rows stay, hashing the ids and sorting no text. Ids of several
-    rows with different decisions are rare; among those rows alone the digest says which one stays.
+    An anti join takes out the ids of which not all rows stay; texts move only if those ids are too many to be sent.
+    Ids of several rows with different decisions are rare; among those rows alone the digest says which one stays.
     """
-    ids = decisions.groupBy(F.col("doc_id").alias("fw_id")).agg(F.count("*").alias("fw_rows"), F.sum(F.col("kept").cast("int")).alias("fw_keep"))
-    ids = through_scratch(ids.where("fw_keep < fw_rows"), "dropped-ids")
-    id_of = docs[id_col].cast("long")
-    whole = docs.join(ids.hint("shuffle_hash"), id_of.eqNullSafe(ids["fw_id"]), "left_anti")
-    mixed = ids.where("fw_keep > 0")
+    ids = decisions.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("stay"))
+    ids = through_scratch(ids.where("stay < n").withColumnRenamed("doc_id", "id"), "dropped-ids")
+    rows = as_one(docs, id_col)
+    whole = rows.join(checked_side(ids.select("id"), F.lit(64)), F.col("doc_id").eqNullSafe(F.col("id")), "left_anti").select("doc.*")
+    mixed = ids.where("stay > 0")
     if mixed.isEmpty():
         return whole
-    held = docs.join(mixed.hint("shuffle_hash"), id_of.eqNullSafe(mixed["fw_id"]), "left_semi")
-    held = held.withColumn("fw_sha", F.sha2(F.regexp_replace(text_or_empty(held, text_col), WHITE_SPACE, " ").cast("binary"), 256))
-    chosen = decisions.where("kept").select(F.col("doc_id").alias("fw_id"), F.col("text_sha256").alias("fw_kept_sha"))
-    held = held.join(chosen, held[id_col].cast("long").eqNullSafe(chosen["fw_id"]) & (held["fw_sha"] == chosen["fw_kept_sha"]), "left_semi")
-    place = Window.partitionBy(id_col, "fw_sha").orderBy(F.length(text_col), text_col)
-    held = held.withColumn("fw_place", F.row_number().over(place)).where("fw_place = 1")
-    return whole.unionByName(held.select(*docs.columns))
+    held = rows.join(checked_side(mixed.select("id"), F.lit(64)), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    text = F.coalesce(F.col("doc").getField(text_col).cast("string"), F.lit(""))
+    held = held.withColumns({"text": text, "sha": F.sha2(F.regexp_replace(text, WHITE_SPACE, " ").cast("binary"), 256)})
+    chosen = decisions.where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("kept_sha"))
+    held = held.join(chosen, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("kept_sha")), "left_semi")
+    place = Window.partitionBy("doc_id", "sha").orderBy(F.length("text"), "text")
+    held = held.withColumn("place", F.row_number().over(place)).where("place = 1")
+    return whole.unionByName(held.select("doc.*"))

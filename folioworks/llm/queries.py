@@ -99,7 +99,7 @@ base as (select * from s where k < 3 and length(v) >= least),
 more as (select * from s where k = 3 and regexp_matches(v, '[0-9]') and regexp_matches(v, '[A-Za-z]') and not exists (from base b where b.row = s.row and b.a < s.z and s.a < b.z)),
 every as (select * from base union all select * from more),
 owners as (select v, count(distinct coalesce(source, chr(1))) as n_owners, count(*) as n_repos from (select distinct v, source, doc_id from every) group by v),
-judged as (select every.*, n_owners <= 2 and n_repos <= 10 as live, ['assign', 'access', 'hex', 'live'][k + 1] || ':' || cast(a as bigint) || ':' || cast(z as bigint) as written from every join owners using (v)),
+judged as (select every.*, n_owners, n_repos, n_owners <= 2 and n_repos <= 10 as live, ['assign', 'access', 'hex', 'live'][k + 1] || ':' || cast(a as bigint) || ':' || cast(z as bigint) as written from every join owners using (v)),
 sums as (
   select row, count(*) filter (where k = 0) as n_assign, count(*) filter (where k = 1) as n_access, count(*) filter (where k = 2) as n_hex, string_agg(written, ',' order by a, k) filter (where k < 3) as base,
     string_agg(written, ',' order by a, k) filter (where k < 3 or live) as spans, count(*) filter (where k < 3 and live) as n_live, count(*) filter (where k < 3 and not live) as n_copied, max(n_owners) as most_owners, max(n_repos) as most_repos from judged group by row)

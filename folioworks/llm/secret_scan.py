@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, through_scratch
+from .common import as_one, checked_side, text_or_empty, through_scratch
 
 # The base patterns (kind, pattern, group that is the value, least length of that group). A run of hex
 # digits, or what follows AKIA, is always matched to its end, so its least length can stand in the pattern; that of an
@@ -168,12 +168,20 @@ def redact(text: Column, places: Column, mark: str = "[SECRET]") -> Column:
 def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", max_owners: int = 2, max_repos: int = 10) -> DataFrame:
     """docs with all base spans and live spans of its texts replaced; length_col, if there, follows the text."""
     found = secret_scan(docs, id_col, text_col, id_col, "source" if "source" in docs.columns else id_col, max_owners, max_repos).where(F.size("places") > 0)
-    found = found.groupBy(F.col("doc_id").alias("fw_id"), F.col("text_hash").alias("fw_hash")).agg(F.any_value("places").alias("fw_places"))
-    same = docs[id_col].cast("long").eqNullSafe(found["fw_id"]) & (F.xxhash64(text_or_empty(docs, text_col)) == found["fw_hash"])
-    out = docs.join(found.hint("shuffle_hash"), same, "left")
-    clean = F.when(F.col("fw_places").isNull(), F.col(text_col)).otherwise(redact(F.col(text_col), F.col("fw_places")))
-    out = out.withColumn(text_col, clean)
-    if length_col in docs.columns:
-        changed = F.when(F.col("fw_places").isNull(), F.col(length_col)).otherwise(F.length(text_col))
-        out = out.withColumn(length_col, changed.cast(docs.schema[length_col].dataType))
-    return out.select(*docs.columns)
+    found = found.groupBy(F.col("doc_id").alias("id"), "text_hash").agg(F.any_value("places").alias("places"))
+    found = checked_side(through_scratch(found, "secret-places"), 64 + 16 * F.size("places"))
+    rows = as_one(docs, id_col).withColumn("hash", F.xxhash64(F.coalesce(F.col("doc").getField(text_col).cast("string"), F.lit(""))))
+    rows = rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_hash")), "left")
+    text = F.col("doc").getField(text_col)
+    clean = F.when(F.col("places").isNull(), text).otherwise(redact(text, F.col("places")))
+    out = rows.select("doc", "places", clean.alias("clean"))
+
+    def column(name: str) -> Column:
+        own = F.col("doc").getField(name)
+        if name == text_col:
+            return F.col("clean").alias(name)
+        if name == length_col:
+            return F.when(F.col("places").isNull(), own).otherwise(F.length("clean")).cast(docs.schema[name].dataType).alias(name)
+        return own.alias(name)
+
+    return out.select(*(column(c) for c in docs.columns))

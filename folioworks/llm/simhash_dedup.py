@@ -8,7 +8,7 @@ one of the 32 bits outside the bucket's blocks, or none. Two members are within
 key, and all that share one are within 2 bits of each other, so linking each to the key's smallest member loses no
 component. Components come from star steps over these links.
 
-Defined results: null text is empty; texts without words have fingerprint zero and are linked like any other; a null
+Defined results: null text is empty; a text of any length counts whole, its shingles in pieces; texts without words have fingerprint zero and are linked like any other; a null
 id is a node like others but never the smallest unless all ids of a component are null; repeated rows each give a row;
 an empty table gives no rows; only the named columns are read.
 """
@@ -19,13 +19,13 @@ from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import doc_texts, through_scratch
+from .common import as_one, checked_side, doc_texts, through_scratch
 from .graph import components
 
 SEED = 42
@@ -135,25 +135,23 @@ def keep_smallest(docs: DataFrame, groups: DataFrame, print_of: Callable[[bytes]
     """
     decisions = through_scratch(groups, "simhash-decisions")
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ids = decisions.groupBy(F.col("doc_id").alias("fw_id")).agg(F.count("*").alias("fw_rows"), F.count_if(stays).alias("fw_keep"))
-    ids = through_scratch(ids.where("fw_keep = 0 or fw_rows > 1"), "dropped-ids")
-    id_of = docs[id_col].cast("long")
-    whole = docs.join(ids.hint("shuffle_hash"), id_of.eqNullSafe(ids["fw_id"]), "left_anti")
-    mixed = ids.where("fw_keep > 0")
+    ids = decisions.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n"), F.count_if(stays).alias("stay"))
+    ids = through_scratch(ids.where("stay = 0 or n > 1"), "dropped-ids")
+    rows = as_one(docs, id_col)
+    whole = rows.join(checked_side(ids.select("id"), F.lit(64)), F.col("doc_id").eqNullSafe(F.col("id")), "left_anti").select("doc.*")
+    mixed = ids.where("stay > 0")
     if mixed.isEmpty():
         return whole
-    held = docs.join(mixed.hint("shuffle_hash"), id_of.eqNullSafe(mixed["fw_id"]), "left_semi")
-    held = held.withColumns({"fw_id": held[id_col].cast("long"), "fw_text": F.coalesce(held[text_col].cast("string"), F.lit(""))})
-
-    def with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("fw_text").cast(pa.binary())
-            prints = np.array([print_of(t.as_py()) & (1 << 64) - 1 for t in texts], np.uint64).view(np.int64)
-            yield batch.append_column("fw_print", pa.array(prints, pa.int64()))
-
-    held = held.mapInArrow(with_print, T.StructType([*held.schema.fields, T.StructField("fw_print", T.LongType())]))
-    roots = decisions.where(stays).select(F.col("doc_id").alias("d"), "fp", "root").distinct()
-    held = held.join(roots, held["fw_id"].eqNullSafe(roots["d"]) & (held["fw_print"] == roots["fp"]))
-    place = Window.partitionBy("root").orderBy(F.length("fw_text"), "fw_text")
-    held = held.withColumn("fw_place", F.row_number().over(place)).where("fw_place = 1")
-    return whole.unionByName(held.select(*docs.columns))
+    held = rows.join(checked_side(mixed.select("id"), F.lit(64)), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    held = held.withColumn("text", F.coalesce(F.col("doc").getField(text_col).cast("string"), F.lit("")))
+
+    @F.pandas_udf("long")
+    def print_of_text(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([print_of(t.encode()) & (1 << 64) - 1 for t in texts], np.uint64).view(np.int64))
+
+    held = held.withColumn("print", print_of_text("text"))
+    roots = decisions.where(stays).select(F.col("doc_id").alias("id"), "fp", "root").distinct()
+    held = held.join(roots, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("print") == F.col("fp")))
+    place = Window.partitionBy("root").orderBy(F.length("text"), "text")
+    held = held.withColumn("place", F.row_number().over(place)).where("place = 1")
+    return whole.unionByName(held.select("doc.*"))
