@@ -1,4 +1,10 @@
-"""The corpus pipeline: quality, exact copies, near copies, secrets, packing."""
+"""The corpus pipeline: quality, exact copies, near copies, secrets, packing.
+
+Each stage but the last gives back the columns of documents, whatever they are named; the operators keep rows as structs
+beside their own columns. Defined results: null and empty texts are scored, deduplicated and packed like others (as
+empty texts, and as one group of copies); a row of a null id is kept or dropped by its text; of repeated rows one
+stays; an empty table goes through all stages and gives no rows; without labels nothing is rejected.
+"""
 
 from __future__ import annotations
 
