@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioworks.functions.scalar import unit
+
 DIMENSIONS = 768
 INPUT_CHARS = 10_000
 
@@ -46,15 +48,24 @@ class HashingEmbedder:
     dimensions: int = DIMENSIONS
 
     def embed(self, texts: Sequence[str]) -> list[list[float]]:
-        out = []
-        for text in texts:
-            v = np.zeros(self.dimensions)
-            for word in text[:INPUT_CHARS].lower().split():
-                h = word_hash(word)
-                v[h % self.dimensions] += 1 if h >> 63 else -1
-            norm = np.linalg.norm(v)
-            out.append((v / norm if norm else v).tolist())
-        return out
+        words = [t[:INPUT_CHARS].lower().split() for t in texts]
+        codes, known = pd.factorize(np.array([w for ws in words for w in ws], dtype=object))
+        hashes = np.array([word_hash(w) for w in known], np.uint64)
+        slot, sign = (hashes % np.uint64(self.dimensions)).astype(np.int64), np.where(hashes >> np.uint64(63), 1.0, -1.0)
+        row = np.repeat(np.arange(len(texts)), [len(ws) for ws in words])
+        sums = np.bincount(row * self.dimensions + slot[codes], sign[codes], len(texts) * self.dimensions).reshape(len(texts), self.dimensions)
+        return unit(sums).tolist()
+
+
+@dataclass
+class LetterEmbedder:
+    """How often a text has each letter from a to z, in either case, at norm 1."""
+
+    dimensions: int = 26
+
+    def embed(self, texts: Sequence[str]) -> list[list[float]]:
+        letters = [(chr(97 + i), chr(65 + i)) for i in range(self.dimensions)]
+        return unit(np.array([[t.count(a) + t.count(b) for a, b in letters] for t in (t[:INPUT_CHARS] for t in texts)], float).reshape(len(texts), self.dimensions)).tolist()
 
 
 @dataclass
@@ -151,6 +162,25 @@ def shared_rotation(keys: Sequence[str]) -> KeyRotation:
     return _rotations.setdefault(tuple(keys), KeyRotation(tuple(keys)))
 
 
+#: Texts that a model gets at once.
+EMBED_ROWS = 1024
+
+
+def embedded_texts(model: Embedder, texts: list[str]) -> tuple[list[list[float]], list[bool]]:
+    try:
+        return model.embed(texts), [True] * len(texts)
+    except Exception:  # one bad text must not cost the whole batch
+        vectors, ok = [], []
+        for t in texts:
+            try:
+                vectors += model.embed([t])
+                ok.append(True)
+            except Exception:
+                vectors.append([0.0] * model.dimensions)
+                ok.append(False)
+        return vectors, ok
+
+
 def embed(text: Column, embedder: Embedder | None = None) -> Column:
     """struct(embedding, embed_ok) of texts; a text that fails has a zero vector."""
     model = embedder or HashingEmbedder()
@@ -158,19 +188,11 @@ def embed(text: Column, embedder: Embedder | None = None) -> Column:
     @F.pandas_udf("embedding array<float>, embed_ok boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [(t or "")[:INPUT_CHARS] for t in batch]
-            try:
-                vectors, ok = model.embed(texts), [True] * len(texts)
-            except Exception:  # one bad text must not cost the whole batch
-                vectors, ok = [], []
-                for t in texts:
-                    try:
-                        vectors += model.embed([t])
-                        ok.append(True)
-                    except Exception:
-                        vectors.append([0.0] * model.dimensions)
-                        ok.append(False)
-            yield pd.DataFrame({"embedding": vectors, "embed_ok": ok})
+            parts = []
+            for at in range(0, len(batch), EMBED_ROWS):  # so that a batch's vectors are never held at once as lists
+                texts = [(t or "")[:INPUT_CHARS] for t in batch.iloc[at : at + EMBED_ROWS]]
+                parts.append(pd.DataFrame(dict(zip(("embedding", "embed_ok"), embedded_texts(model, texts), strict=True))))
+            yield pd.concat(parts) if parts else pd.DataFrame({"embedding": [], "embed_ok": []})
 
     return run(text)
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.functions import text as X
-from folioworks.functions.models import HashingEmbedder
+from folioworks.functions.models import LetterEmbedder
 from folioworks.operators import chunkers, guided, search, sections, semantic, stats
 from folioworks.plans import answer
 from folioworks.sources import files, store
@@ -330,12 +330,41 @@ def fixed_chunks_overlap(spark: SparkSession, d: str) -> DataFrame:
     return chunkers.fixed_chunks(documents(spark, d), 64, 16)
 
 
-@query()
+# The separators of recursive chunks.
+SEPARATORS_SQL = "[chr(10) || chr(10), chr(10), '.', '?', '!', ' ', '']"
+
+
+def pieces_sql(docs: str, size: int, overlap: int) -> str:
+    """Recursive steps of pieces (doc_id, chunk_no, chunk) of the texts in docs.
+
+    node: texts still to be divided, by path; part: their parts; runs: neighbouring parts that are small, with running
+    sums of their tokens; chain: beginnings and ends of the chunks of a run.
+    """
+    split = f"""select *, list_filter(case when sep = '' then string_split(text, '') else list_transform(range(1, len(string_split(text, sep)) + 1), lambda i: case when i = 1 then string_split(text, sep)[1] else sep || string_split(text, sep)[i] end) end, lambda x: x <> '') as parts
+        from (select *, {SEPARATORS_SQL}[lvl] as sep from (select *, list_filter(range(lev, 8), lambda i: {SEPARATORS_SQL}[i] = '' or contains(text, {SEPARATORS_SQL}[i]))[1] as lvl from {{nodes}}))"""
+    return f"""node as (
+      select doc_id, [0::bigint] as path, text, 1::bigint as lev from {docs} where text <> ''
+      union all
+      select doc_id, list_append(path, i), part, lvl + 1 from (select doc_id, path, lvl, unnest(parts) as part, unnest(range(1, len(parts) + 1)) as i from ({split.format(nodes="node")})) where length(part) // 4 >= {size}),
+    part as (select doc_id, path, part, i, length(part) // 4 as n, count(*) filter (where length(part) // 4 >= {size}) over (partition by doc_id, path order by i) as g
+      from (select doc_id, path, unnest(parts) as part, unnest(range(1, len(parts) + 1)) as i from ({split.format(nodes="node")}))),
+    runs as materialized (select doc_id, list_append(path, min(i)) as path, list(part order by i) as parts, list_concat([0::hugeint], list(total order by i)) as sums
+      from (select *, sum(n) over (partition by doc_id, path, g order by i) as total from part where n < {size}) group by doc_id, path, g),
+    chain as (
+      select doc_id, path, parts, sums, 1::bigint as a, len(list_filter(sums, lambda x: x <= {size})) - 1 as b from runs
+      union all
+      select doc_id, path, parts, sums, a, len(list_filter(sums, lambda x: x <= sums[a] + {size})) - 1
+      from (select * replace (least(len(list_filter(sums, lambda x: x < greatest(sums[b + 1] - {overlap}, sums[b + 2] - {size}))) + 1, b + 1) as a) from chain where b < len(parts))),
+    pieces as (select doc_id, cast(row_number() over (partition by doc_id order by path, a) - 1 as integer) as chunk_no, chunk
+      from (select doc_id, path, a, {strip_sql("array_to_string(parts[a : b], '')")} as chunk from chain) where chunk <> '')"""
+
+
+@query(f"with recursive docs as (select doc_id, replace(text, chr(10), chr(10) || chr(10)) as text from documents), {pieces_sql('docs', 100, 20)} select * from pieces")
 def recursive_chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunkers.recursive_chunks(para_docs(spark, d), 100, 20)
 
 
-@query()
+@query(f"with recursive {pieces_sql('documents', 50, 0)} select * from pieces")
 def small_pieces(spark: SparkSession, d: str) -> DataFrame:
     return chunkers.small_pieces(documents(spark, d))
 
@@ -386,10 +415,28 @@ def ctx_pdf_chunks(spark: SparkSession, d: str) -> DataFrame:
     return chunkers.context_pdf_chunks(pdf_sections(spark, d), 64).fillna(0, ["chunk_part"])
 
 
-@query()
+OVERSIZED = rf"""docs as (select doc_id, '## Document' || chr(10) || chr(10) || replace(text, chr(10), chr(10) || chr(10)) as chunk, chr(10) || chr(10) || replace(text, chr(10), chr(10) || chr(10)) as body from documents),
+sized as (select *, length(chunk) // 4 > 800 or octet_length(encode(chunk)) > 14000 as large from docs),
+paras as (select doc_id, unnest(l) as para, unnest(range(1, len(l) + 1)) as p from (
+  select doc_id, list_filter(list_transform(string_split_regex(body, '\n\n+'), lambda x: {strip_sql("x")}), lambda x: x <> '') as l from sized where large)),
+items as (select doc_id, kind, para, item, row_number() over (partition by doc_id order by p, k) as i, p from (
+  select doc_id, 'p' as kind, p as para, para as item, p, 0 as k from paras where length(para) // 4 <= 800
+  union all
+  select doc_id, 's', p, unnest(l), p, unnest(range(1, len(l) + 1)) from (select doc_id, p, string_split(regexp_replace(para, '([.!?]){WS}+', '\1' || chr(1), 'g'), chr(1)) as l from paras where length(para) // 4 > 800))),
+steps as (
+  select doc_id, i, kind, para, item, 1 as g, case when over then length(full_) // 4 else base + n end as used from (select *, length('## Document' || chr(10) || chr(10) || item) as x, '## Document' || chr(10) || chr(10) || item as full_, 2 as base, length(item) // 4 as n, 2 + length(item) // 4 > 800 as over from items where i = 1)
+  union all
+  select doc_id, i, kind, para, item, case when fresh or base + n > 800 then g + 1 else g end, case when base + n > 800 then length('## Document' || chr(10) || chr(10) || item) // 4 else base + n end
+  from (select t.*, s.g, length(t.item) // 4 as n, s.kind <> t.kind or (t.kind = 's' and s.para <> t.para) as fresh, case when s.kind <> t.kind or (t.kind = 's' and s.para <> t.para) then 2 else s.used end as base
+    from steps s join items t on t.doc_id = s.doc_id and t.i = s.i + 1)),
+parts as (select doc_id, g, {clean_sql("body")} as chunk from (select doc_id, g, '## Document' || chr(10) || chr(10) || case when kind = 's' then array_to_string(l, ' ') else array_to_string(l, chr(10) || chr(10)) end as body from (select doc_id, g, kind, list(item order by i) as l from steps group by doc_id, g, kind))),
+both_ as (select doc_id, 0 as sub_chunk_part, '' as split_reason, chunk from sized where not large union all select doc_id, row_number() over (partition by doc_id order by g), 'size_exceeded', chunk from parts)"""
+
+
+@query(f"with recursive {OVERSIZED} select doc_id, cast(row_number() over (partition by doc_id order by sub_chunk_part) - 1 as integer) as chunk_no, cast(sub_chunk_part as integer) as sub_chunk_part, split_reason, chunk from both_")
 def oversized_split(spark: SparkSession, d: str) -> DataFrame:
     chunks = para_docs(spark, d).select("doc_id", F.lit(0).alias("chunk_no"), F.concat(F.lit("## Document\n\n"), F.col("text")).alias("chunk"))
-    return chunkers.split_oversized(chunks, F.lit("## Document"))
+    return chunkers.split_oversized(chunks, F.lit("## Document")).select("doc_id", "chunk_no", "sub_chunk_part", "split_reason", "chunk").fillna({"sub_chunk_part": 0, "split_reason": ""})
 
 
 def series(spark: SparkSession, d: str) -> DataFrame:
@@ -437,9 +484,32 @@ def kamradt_regroup(spark: SparkSession, d: str) -> DataFrame:
     return semantic.regrouped(far, ["label"], "vec_id", F.coalesce(F.col("distance") > 0.9, F.lit(False)))
 
 
-@query()
+def letters_sql(x: str) -> str:
+    """The vector of a text by how often it has each letter."""
+    counted = f"list_transform(range(97, 123), lambda c: cast(2 * length({x}[:10000]) - length(replace({x}[:10000], chr(c::int), '')) - length(replace({x}[:10000], chr(c::int - 32), '')) as double))"
+    return f"(select cast(case when list_dot_product(v, v) = 0 then v else list_transform(v, lambda y: y / sqrt(list_dot_product(v, v))) end as float[]) from (select {counted} as v))"
+
+
+def unit_sql(v: str) -> str:
+    return f"case when list_dot_product({v}, {v}) = 0 then {v} else list_transform({v}, lambda x: x / sqrt(list_dot_product({v}, {v}))) end"
+
+
+@query(
+    f"""with recursive {pieces_sql('documents', 50, 0)},
+    near as (select *, string_agg(chunk, ' ') over (partition by doc_id order by chunk_no rows between 3 preceding and 3 following) as combined from pieces),
+    v as (select doc_id, chunk_no, chunk, cast({letters_sql("combined")} as double[]) as v from near),
+    n as (select *, lead(v) over (partition by doc_id order by chunk_no) as w from v),
+    dist as materialized (select doc_id, chunk_no, chunk, case when w is not null then 1 - list_dot_product(v, w) / (case when list_dot_product(v, v) = 0 then 1 else sqrt(list_dot_product(v, v)) end * case when list_dot_product(w, w) = 0 then 1 else sqrt(list_dot_product(w, w)) end) end as distance from n),
+    base as (select doc_id, greatest(1, sum(length(chunk) // 4) // 200) as cuts, coalesce(list(distance) filter (where distance is not null), []) as ds from dist group by doc_id),
+    b as (select doc_id, cuts, ds, 0.0::double as lo, 1.0::double as hi, 0.5::double as t, 0 as n from base
+      union all
+      select doc_id, cuts, ds, case when len(list_filter(ds, lambda x: x > (lo + hi) / 2)) > cuts then (lo + hi) / 2 else lo end, case when len(list_filter(ds, lambda x: x > (lo + hi) / 2)) > cuts then hi else (lo + hi) / 2 end, (lo + hi) / 2, n + 1 from b where n < 20),
+    m as (select dist.*, coalesce(lag(distance > t) over (partition by doc_id order by chunk_no), false) as cut from dist join (select doc_id, t from b where n = 20) using (doc_id)),
+    g as (select *, sum(cast(cut as integer)) over (partition by doc_id order by chunk_no) as part from m)
+    select doc_id, cast(part as integer) as chunk_no, string_agg(chunk, ' ' order by chunk_no) as chunk from g group by doc_id, part"""
+)
 def kamradt_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return semantic.breakpoint_chunks(documents(spark, d), 200, embedder=HashingEmbedder(64))
+    return semantic.breakpoint_chunks(documents(spark, d), 200, embedder=LetterEmbedder())
 
 
 @query(
@@ -479,12 +549,44 @@ def cluster_segments(spark: SparkSession, d: str) -> DataFrame:
     return semantic.cluster_segments(series(spark, d), ["label"], "vec_id", 8)
 
 
-@query()
+@query(
+    f"""with recursive {pieces_sql('documents', 50, 0)},
+    v as (select doc_id, chunk_no as i, chunk, cast({letters_sql("chunk")} as double[]) as v from pieces),
+    u as materialized (select doc_id, i, {unit_sql("v")} as v from v),
+    flat as (select doc_id, unnest(v) as x, unnest(range(1, 27)) as k from u),
+    sums as (select doc_id, list(s order by k) as total, sum(q) as own from (select doc_id, k, sum(x) as s, sum(x * x) as q from flat group by all) group by doc_id),
+    m as (select doc_id, case when n > 1 then (list_dot_product(total, total) - own) / (n * (n - 1)) else 0 end as mean from sums join (select doc_id, count(*) as n from u group by doc_id) using (doc_id)),
+    near as (select a.doc_id, a.i, b.i as j, list_dot_product(a.v, b.v) - mean as s from u a join u b on a.doc_id = b.doc_id and b.i > a.i and b.i < a.i + 8 join m on m.doc_id = a.doc_id),
+    bounds as (select a.doc_id, a.i as first, b.i as last from u a join u b on a.doc_id = b.doc_id and b.i >= a.i and b.i < a.i + 8),
+    reward as materialized (select b.doc_id, b.first, b.last, coalesce(sum(2 * s), 0) as reward from bounds b left join near n on n.doc_id = b.doc_id and n.i >= b.first and n.j <= b.last group by all),
+    dp as (select distinct doc_id, -1 as i, cast([] as double[]) as best, cast([] as integer[]) as start from u
+      union all
+      select d.doc_id, d.i + 1, list_append(d.best, greatest(0, max(g))), list_append(d.start, case when max(g) > 1e-12 then max(first) filter (where g > top - 1e-12) else 0 end)
+      from (select d.doc_id, d.i, d.best, d.start, r.first, r.reward + case when r.first > 0 then d.best[r.first] else 0 end as g, max(r.reward + case when r.first > 0 then d.best[r.first] else 0 end) over (partition by d.doc_id) as top from dp d join reward r on r.doc_id = d.doc_id and r.last = d.i + 1) d group by d.doc_id, d.i, d.best, d.start),
+    full_ as (select doc_id, start, i from dp where i = (select max(i) from u where u.doc_id = dp.doc_id)),
+    walk as (select doc_id, start, start[i + 1] as first, i as last, 0 as k from full_
+      union all select doc_id, start, start[first], first - 1, k + 1 from walk where first > 0)
+    select w.doc_id, cast(row_number() over (partition by w.doc_id order by max(k) desc) - 1 as integer) as chunk_no, string_agg(chunk, ' ' order by i) as chunk
+    from walk w join v on v.doc_id = w.doc_id and v.i between w.first and w.last group by w.doc_id, w.first"""
+)
 def cluster_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return semantic.cluster_chunks(documents(spark, d), embedder=HashingEmbedder(64))
+    return semantic.cluster_chunks(documents(spark, d), embedder=LetterEmbedder())
 
 
-@query()
+@query(
+    f"""with recursive {pieces_sql('documents', 50, 0)},
+    lists as materialized (select doc_id, list(chunk order by chunk_no) as parts, list_concat([0::hugeint], list(total order by chunk_no)) as sums from (select *, sum(length(chunk) // 4) over (partition by doc_id order by chunk_no) as total from pieces) group by doc_id),
+    walk as (
+      select doc_id, parts, sums, 0::bigint as cur, []::bigint[] as cuts from lists
+      union all
+      select doc_id, parts, sums, case when len(here) > 0 then here[len(here)] else cur + 5 end, list_concat(cuts, here)
+      from (select *, range(cur + 5, least(len(parts), len(list_filter(sums, lambda x: x <= sums[cur + 1] + 800))) + 1, 4) as here from walk where len(parts) > 3 and cur < len(parts) - 3)),
+    last_ as (select doc_id, parts, list_distinct(list_filter(arg_max(cuts, cur), lambda c: c > 0 and c < len(parts))) as ends from walk group by doc_id, parts),
+    bounds as (select doc_id, parts, list_sort(list_concat([0], ends, [len(parts)])) as b from last_ where len(parts) > 3),
+    cut as (select doc_id, parts, unnest(range(1, len(b))) as k, b from bounds)
+    select doc_id, cast(k - 1 as integer) as chunk_no, {strip_sql("array_to_string(parts[b[k] + 1 : b[k + 1]], ' ')")} as chunk from cut
+    union all select doc_id, chunk_no, chunk from pieces where doc_id in (select doc_id from lists where len(parts) <= 3)"""
+)
 def guided_text_chunks(spark: SparkSession, d: str) -> DataFrame:
     return guided.guided_chunks(documents(spark, d))
 
@@ -609,10 +711,19 @@ def hybrid_search(spark: SparkSession, d: str) -> DataFrame:
     return found.select("query_id", F.sha2(F.col("doc_key").cast("binary"), 256).alias("doc_sha256"), F.round("score", 9).alias("score"), "rank")
 
 
-@query()
+@query(
+    f"""with q as (select item_id as query_id, text from benchmark where exists (from embeddings where vec_id = item_id)), {SCORES}, {SQL2},
+    kw as (select query_id, text as doc_key, score, rank from keyword join documents on doc_id = doc where rank <= 10),
+    sem as (select query_id, text as doc_key, distance, rank from near join documents on doc_id = id where rank <= 10), {FUSED},
+    best as (select query_id, list(doc_key order by rank) as found, list(round(score, 9) order by rank) as scores from r where rank <= 5 group by query_id)
+    select query_id, sha256(text) as question_sha256, sha256(coalesce(found[1], 'No relevant passages were found.')) as answer_sha256, sha256(array_to_string(found, '#')) as found_sha256, scores from q left join best using (query_id)"""
+)
 def answered_questions(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d)
-    return answer.answer(search.keyword_index(docs), docs, table(spark, d, "embeddings"), asked(spark, d), 5)
+    rows = answer.answer(search.keyword_index(docs), docs, table(spark, d, "embeddings"), asked(spark, d), 5)
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    found, scores = F.transform("retrieved", lambda r: r["content"]), F.transform("retrieved", lambda r: F.round(r["score"], 9))
+    return rows.select("query_id", digest(F.col("question")).alias("question_sha256"), digest(F.col("answer")).alias("answer_sha256"), digest(F.array_join(found, "#")).alias("found_sha256"), scores.alias("scores"))
 
 
 # Reports, stores and conversations.
