@@ -144,7 +144,11 @@ def ocr_text(detections: Column, least: float = 0.3) -> Column:
     return F.array_join(F.transform(F.filter(detections, lambda d: d["confidence"] > least), lambda d: d["text"]), " ")
 
 
-def collection_name(file_name: Column, prefix: str = "llm_semantic_md_") -> Column:
+#: Fixed value: what names of collections begin with.
+COLLECTION_PREFIX = "llm_semantic_md_"
+
+
+def collection_name(file_name: Column, prefix: str = COLLECTION_PREFIX) -> Column:
     """Name of a collection: other characters than letters, digits, dot, line and underscore become underscores."""
     return F.concat(F.lit(prefix), F.regexp_replace(F.regexp_replace(F.regexp_replace(file_name, r"[^a-zA-Z0-9._-]", "_"), r"_+", "_"), r"\A[_-]+|[_-]+\z", ""))
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from folioworks.functions.models import BoundaryModel, EveryNth
 from folioworks.functions.text import MIN_CHARS, clean_content, clean_pages, context_header, page_header, section_splits, sentence_markup, split_sentences
 
+from folioworks.sources.scratch import written
+
 from .chunkers import overlap_prefix, small_pieces, split_oversized
 
 ASK = "Divide this section into parts of one theme each. Reply with 'split_after:' and the numbers of sentences, or 'split_after: none'.\n"
@@ -27,7 +29,8 @@ def apply_splits(sentences: Column, splits: Column, inclusive: bool = False) ->
 
 def replies(sections: DataFrame, model: BoundaryModel | None = None) -> DataFrame:
     """sections (sentences) with the model's reply; null where there are too few sentences to ask, and for an error.
-    Only prompts of asked sections go to Python. Write the result before it is used twice: replies may differ."""
+    Only prompts of asked sections go to Python. The result is written at once, so that each is asked once (but for
+    tasks that run again) and all that follows sees the same reply."""
     chosen = model or EveryNth()
 
     @F.pandas_udf("string")
@@ -42,7 +45,7 @@ def replies(sections: DataFrame, model: BoundaryModel | None = None) -> DataFram
             yield pd.Series(out, dtype=object)
 
     prompt = F.concat(F.lit(ASK), F.col("title"), F.lit("\n"), sentence_markup(F.col("sentences")))
-    return sections.withColumn("reply", ask(F.when(F.size("sentences") > 3, prompt)))
+    return written(sections.withColumn("reply", ask(F.when(F.size("sentences") > 3, prompt))), "replies")
 
 
 def guided_sections(replied: DataFrame, header: Column, paged: bool, inclusive: bool = False, keys: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -58,11 +58,14 @@ def keyword_scores(index: KeywordIndex, queries: DataFrame, query_id: str = "que
 def keyword_search(index: KeywordIndex, queries: DataFrame, n: int = 10, query_id: str = "query_id", text_col: str = "text") -> DataFrame:
     """query_id, doc, score, rank: the n best documents of each query, ties by id; documents without any of its terms
     (score 0) fill up what is missing. At most 2n first documents are candidates for that, as more cannot be needed."""
-    scores = keyword_scores(index, queries, query_id, text_col)
-    first = index.docs.orderBy("doc").limit(2 * n).agg(F.collect_list("doc").alias("firsts"))
-    fill = queries.select(queries[query_id].alias("query_id")).distinct().join(F.broadcast(first)).select("query_id", F.explode("firsts").alias("doc"))
-    fill = fill.join(scores.select("query_id", "doc"), ["query_id", "doc"], "left_anti").withColumn("score", F.lit(0.0))
+    scores = written(keyword_scores(index, queries, query_id, text_col), "keyword-scores")  # read twice below
     order = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "doc")
+    ids = queries.select(queries[query_id].alias("query_id")).distinct()
+    positive = scores.groupBy("query_id").agg(F.count_if(F.round("score", 9) > 0).alias("hits"))
+    short = ids.join(positive, "query_id", "left").where(F.coalesce("hits", F.lit(0)) < n).select("query_id")
+    first = index.docs.orderBy("doc").limit(2 * n + 1).agg(F.collect_list("doc").alias("firsts"))
+    fill = short.join(F.broadcast(first)).select("query_id", F.explode("firsts").alias("doc"))  # one row
+    fill = fill.join(scores.select("query_id", "doc"), ["query_id", "doc"], "left_anti").withColumn("score", F.lit(0.0))
     return scores.unionByName(fill).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
@@ -84,54 +87,75 @@ def vector_topk(table: DataFrame, query: list[float], k: int = 10, metric: str =
     return near.orderBy("distance", "id").limit(k)
 
 
+def vector_blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
+    """Rows (id, v) as written blocks of at most size vectors: no (from 0, with gaps), ids, dim, mat."""
+    id_type = dict(rows.dtypes)["id"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), size):
+                some = pdf.iloc[at : at + size]
+                m = np.stack(some.v.to_list()).astype("<f8")
+                yield pd.DataFrame({"ids": [some.id.tolist()], "dim": [m.shape[1]], "mat": [m.tobytes()]})
+
+    blocks = rows.mapInPandas(run, f"ids array<{id_type}>, dim int, mat binary")
+    return written(blocks.withColumn("no", F.monotonically_increasing_id()), name)
+
+
+def nearest(asked: np.ndarray, m: np.ndarray, ids: np.ndarray, k: int, metric: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, ids and distances of the k nearest rows of m to each query, ties by id. A product of matrices finds all
+    that rounding could put among them, and only those are measured exactly."""
+    squares, q_squares = (m * m).sum(1), (asked * asked).sum(1)
+    dots = asked @ m.T
+    if metric == "sql2":
+        near = squares[None] - 2 * dots + q_squares[:, None]
+        slack = 1e-9 * (squares.max(initial=0) + q_squares + 1)
+    else:
+        n = np.sqrt(q_squares)[:, None] * np.sqrt(squares)[None]
+        near, slack = 1 - np.where(n == 0, 0, dots / np.where(n == 0, 1, n)), np.full(len(asked), 1e-9)
+    top = min(k, len(m)) - 1
+    kth = np.partition(near, top, axis=1)[:, top] if len(m) else np.zeros(len(asked))
+    for i, q in enumerate(asked):
+        some = np.flatnonzero(near[i] <= kth[i] + slack[i])
+        part = m[some]
+        if metric == "sql2":
+            d = ((part - q) ** 2).sum(1)
+        else:
+            n = np.linalg.norm(q) * np.linalg.norm(part, axis=1)
+            d = 1 - np.where(n == 0, 0, (part * q).sum(1) / np.where(n == 0, 1, n))
+        order = np.lexsort((ids[some], np.round(d, 12)))[:k]
+        yield i, ids[some][order], d[order]
+
+
 def vector_search(table: DataFrame, queries: DataFrame, k: int = 10, metric: str = "sql2", id_col: str = "vec_id", vec_col: str = "embedding", query_id: str = "query_id", query_col: str = "embedding", block: int = 4096) -> DataFrame:
     """query_id, id, distance, rank: the k nearest vectors of each query.
 
-    Queries are sent in blocks of at most ``block`` (the bound on what the driver and each task hold); a task keeps the k
-    best of its rows for each query, and those are ranked. Equal distances go to the smaller id.
+    Vectors lie in blocks and queries in chunks of at most ``block`` and 1024; a row of the join is one of each, so what
+    a task holds is bounded, nothing passes through the driver, and each gives the k best of its block. Blocks are
+    spread over slices, each with all chunks, so few queries still use all tasks. Equal distances go to the smaller id.
     """
+    if metric not in ("sql2", "cosine"):
+        raise ValueError(f"unknown metric {metric}")
     spark = table.sparkSession
-    numbered = queries.select(queries[query_id].alias("q"), queries[query_col].alias("v")).where("v is not null")
-    id_type = dict(table.dtypes)[id_col]
-    q_type = dict(numbered.dtypes)["q"]
-    rows = table.select(table[id_col].alias("id"), table[vec_col].alias("v")).where("v is not null")
-    schema = f"query_id {q_type}, id {id_type}, distance double"
-    found: DataFrame | None = None
-    waiting: list = []
-
-    def searched(some: list) -> DataFrame:
-        ids = [r.q for r in some]
-        asked = np.array([r.v for r in some], float)
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best: dict[int, pd.DataFrame] = {}
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                m = np.stack(pdf.v.to_list()).astype(float)
-                if metric == "sql2":
-                    d = np.stack([((m - q) ** 2).sum(1) for q in asked])
-                else:
-                    n = np.linalg.norm(asked, axis=1)[:, None] * np.linalg.norm(m, axis=1)[None]
-                    d = 1 - np.where(n == 0, 0, (asked @ m.T) / np.where(n == 0, 1, n))
-                for i in range(len(ids)):
-                    top = np.lexsort((pdf.id.to_numpy(), d[i]))[:k]
-                    part = pd.DataFrame({"id": pdf.id.to_numpy()[top], "distance": d[i][top]})
-                    best[i] = part if i not in best else pd.concat([best[i], part]).sort_values(["distance", "id"]).head(k)
-            for i, part in best.items():
-                yield part.assign(query_id=ids[i])[["query_id", "id", "distance"]]
-
-        return rows.mapInPandas(run, schema)
-
-    for row in numbered.toLocalIterator():
-        waiting.append(row)
-        if len(waiting) == block:
-            found = searched(waiting) if found is None else found.unionByName(searched(waiting))
-            waiting = []
-    if waiting or found is None:
-        last = searched(waiting) if waiting else spark.createDataFrame([], schema)
-        found = last if found is None else found.unionByName(last)
-    order = Window.partitionBy("query_id").orderBy("distance", "id")
+    blocks = vector_blocks(table.select(table[id_col].alias("id"), table[vec_col].alias("v")).where("v is not null"), block, "vectors")
+    chunks = vector_blocks(queries.select(queries[query_id].alias("id"), queries[query_col].alias("v")).where("v is not null").coalesce(max(1, spark.sparkContext.defaultParallelism)), 1024, "queries")
+    chunks = chunks.select(F.col("no").alias("chunk"), F.col("ids").alias("q_ids"), F.col("mat").alias("q_mat"))
+    slices = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slice_of = F.pmod(F.xxhash64("no"), F.lit(slices)).cast("int")
+    pairs = blocks.withColumn("slice", slice_of).join(chunks.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))), "slice")
+    q_type, id_type = dict(chunks.dtypes)["q_ids"][6:-1], dict(blocks.dtypes)["ids"][6:-1]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                m, asked = (np.frombuffer(x, "<f8").reshape(-1, r.dim) for x in (r.mat, r.q_mat))
+                ids = np.array(r.ids.tolist() if hasattr(r.ids, "tolist") else r.ids)
+                got = [pd.DataFrame({"query_id": r.q_ids[i], "id": found, "distance": d}) for i, found, d in nearest(asked, m, ids, k, metric)]
+                if got:
+                    yield pd.concat(got)
+
+    found = pairs.select("ids", "dim", "mat", "q_ids", "q_mat").mapInPandas(run, f"query_id {q_type}, id {id_type}, distance double")
+    order = Window.partitionBy("query_id").orderBy(F.round("distance", 12), "id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -167,7 +191,14 @@ def hybrid_search(index: KeywordIndex, docs: DataFrame, vectors: DataFrame, quer
 
     docs: doc_id, text; vectors: vec_id of a document and embedding. key: what counts as the same result, text or id.
     """
-    by_id = docs.select(F.col("doc_id").alias("id"), (F.col("text") if key == "text" else F.col("doc_id").cast("string")).alias("doc_key"))
+    same = F.sha2(F.col("text").cast("binary"), 256) if key == "text" else F.col("doc_id").cast("string")
+    by_id = written(docs.select(F.col("doc_id").alias("id"), same.alias("doc_key")), "doc-keys")  # digests stand for texts
     words = keyword_search(index, queries, 2 * n).withColumnRenamed("doc", "id").join(by_id, "id")
     near = vector_search(vectors, queries, 2 * n, metric).join(by_id, "id")
-    return fused(words.select("query_id", "doc_key", "score", "rank"), near.select("query_id", "doc_key", "distance", "rank"), n)
+    found = fused(words.select("query_id", "doc_key", "score", "rank"), near.select("query_id", "doc_key", "distance", "rank"), n)
+    if key != "text":
+        return found
+    found = written(found, "fused")
+    first = by_id.join(found.select("doc_key").distinct(), "doc_key").groupBy("doc_key").agg(F.min("id").alias("doc_id"))
+    texts = docs.select("doc_id", "text").join(first, "doc_id").groupBy("doc_key").agg(F.any_value("text").alias("text"))
+    return found.join(texts, "doc_key").select("query_id", F.col("text").alias("doc_key"), "score", "rank")

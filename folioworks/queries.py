@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from folioworks.functions.models import LetterEmbedder
 from folioworks.operators import chunkers, guided, search, sections, semantic, stats
 from folioworks.plans import answer
 from folioworks.sources import files, store
+from folioworks.sources.scratch import shared_dir, written
 
 WS = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -243,6 +245,48 @@ def pdf_pages_text(spark: SparkSession, d: str) -> DataFrame:
     return sections.pages_text(pdf_pages(spark, d))
 
 
+@query(
+    r"""with p as (select conv_id, turn + 1 as n, turn, text, role from conversations),
+    t as (select *, case when turn % 4 = 1 then [role || ' | ' || turn || chr(10) || 'a | b', 'x'] else [] end as tables, case when turn % 3 = 0 then 60 + turn else 20 end as width from p),
+    parts as (select conv_id, n, tables, width, list_concat(
+        case when text <> '' then [chr(10) || '--- Page ' || n || ' ---' || chr(10), regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '([a-z])([A-Z])', '\1 \2', 'g'), '(\d)([A-Z][a-z])', '\1 \2', 'g'), '([a-z])(\d+)([A-Z """
+    + WS[1:-1]
+    + r"""])', '\1 \2\3', 'g'), '([.!?])([A-Z])', '\1 \2', 'g')] else [] end,
+        list_transform(tables, lambda x: chr(10) || '[TABLE]' || chr(10) || x || chr(10) || '[/TABLE]' || chr(10)),
+        case when width > 50 then [chr(10) || '[OCR_TEXT_PAGE_' || n || ']' || chr(10) || 'seen ' || role || chr(10) || '[/OCR_TEXT]' || chr(10)] else [] end) as parts from t)
+    select conv_id as doc_id, array_to_string(flatten(list(parts order by n)), chr(10)) as text, cast(count(*) as integer) as num_pages, cast(sum(len(tables)) as integer) as num_tables, cast(count(*) filter (where width > 50) as integer) as num_images, cast(2 * count(*) filter (where width > 50) as integer) as ocr_segments from parts group by conv_id"""
+)
+def pdf_content(spark: SparkSession, d: str) -> DataFrame:
+    turn, number = F.col("turn"), F.col("turn").cast("string")
+    cells = F.concat(F.col("role"), F.lit(" | "), number, F.lit("\na | b"))
+    tables = F.when(turn % 4 == 1, F.array(cells, F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    image = F.struct((turn + 1).cast("int").alias("page"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"), F.when(turn % 3 == 0, 60.0 + turn).otherwise(20.0).alias("width"), F.lit(-70.0).alias("height"), F.lit(None).cast("string").alias("format"), F.lit(None).cast("binary").alias("data"))
+    seen = F.array(*(F.struct(t.alias("text"), F.lit(c).alias("confidence")) for t, c in ((F.lit("seen"), 0.9), (F.lit("blurred"), 0.3), (F.col("role"), 0.31))))
+    pages = table(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("path"), (turn + 1).cast("int").alias("page_no"), "text", tables.alias("tables"), F.array(image).alias("images"), seen.alias("detections"))
+    return files.pdf_content(pages).select(F.col("path").cast("long").alias("doc_id"), "text", *(F.col(f"metadata.{c}").alias(c) for c in ("num_pages", "num_tables", "num_images", "ocr_segments")))
+
+
+def as_files(rows: DataFrame, name: str) -> str:
+    """A file for each row (file, text) of a small table; returns their folder."""
+    path = f"{shared_dir(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.select("file", "text").write.partitionBy("file").option("lineSep", "\r\n").text(path)
+    return path
+
+
+@query("select sha256(text || chr(10)) as text_sha256, count(*) as n, 'txt' as file_type, cast(0 as bigint) as n_tables from benchmark group by text")
+def read_txt(spark: SparkSession, d: str) -> DataFrame:
+    path = as_files(table(spark, d, "benchmark").select(F.col("item_id").alias("file"), "text"), "text-files")
+    found = files.read_txt(spark, path, "*.txt").groupBy("text", "metadata.file_type", F.size("tables").alias("n_tables")).agg(F.count("*").alias("n"))
+    return found.select(F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), "n", "file_type", F.col("n_tables").cast("long").alias("n_tables"))
+
+
+@query("select sha256('| a |' || chr(10) || '|---|' || chr(10) || '| 1 |' || chr(10) || chr(10) || text || chr(10)) as text_sha256, count(*) as n, 'md' as file_type, cast(1 as bigint) as n_tables from benchmark group by text")
+def read_md(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "benchmark").select(F.col("item_id").alias("file"), F.concat(F.lit("| a |\n|---|\n| 1 |\n\n"), F.col("text")).alias("text"))
+    found = files.full_text(files.read_md(spark, as_files(rows, "md-files"), "*.txt")).withColumn("n_tables", F.size(X.md_tables(F.col("text"))))
+    return found.groupBy("text", "n_tables").agg(F.count("*").alias("n")).select(F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), "n", F.lit("md").alias("file_type"), F.col("n_tables").cast("long").alias("n_tables"))
+
+
 @query("select lower(regexp_extract(url, '(\\.[^./]+)$', 1)) as extension, count(*) as n from pages group by 1")
 def extension_router(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select(files.extension(F.col("url")).alias("extension")).groupBy("extension").agg(F.count("*").alias("n"))
@@ -739,23 +783,25 @@ def level_counts(spark: SparkSession, d: str) -> DataFrame:
     return stats.level_counts(md_sections(spark, d))
 
 
-SHORT = "case when doc_id % 5 = 0 then text[:40] when doc_id % 7 = 0 then ' --- Page 3 ---' || text else text end"
+MARKED = "replace(text, chr(10), chr(10) || '--- Page 3 ---' || chr(10))"
+LINES = f"s as (select doc_id, unnest(string_split({MARKED}, chr(10))) as c from documents)"
 KEPT = f"length({strip_sql('c')}) >= 50 and not starts_with({strip_sql('c')}, '--- Page')"
 
 
-def short_chunks(spark: SparkSession, d: str) -> DataFrame:
-    c = F.when(F.col("doc_id") % 5 == 0, F.substring("text", 1, 40)).when(F.col("doc_id") % 7 == 0, F.concat(F.lit(" --- Page 3 ---"), F.col("text"))).otherwise(F.col("text"))
-    return documents(spark, d).select("doc_id", F.lit(0).alias("chunk_no"), c.alias("chunk"))
+def line_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """A chunk for each line, and for page marks between them: short ones, marks and others."""
+    lines = F.split(F.replace("text", F.lit("\n"), F.lit("\n--- Page 3 ---\n")), "\n", -1)
+    return documents(spark, d).select("doc_id", F.posexplode(lines).alias("chunk_no", "chunk"))
 
 
-@query(f"with s as (select doc_id, {SHORT} as c from documents) select count(*) as original, count(*) filter (where {KEPT}) as kept, count(*) - count(*) filter (where {KEPT}) as removed from s")
+@query(f"with {LINES} select count(*) as original, count(*) filter (where {KEPT}) as kept, count(*) - count(*) filter (where {KEPT}) as removed from s")
 def filter_stats(spark: SparkSession, d: str) -> DataFrame:
-    return stats.filter_stats(short_chunks(spark, d))
+    return stats.filter_stats(line_chunks(spark, d))
 
 
-@query(f"with s as (select doc_id, {SHORT} as c from documents) select doc_id, c as chunk from s where {KEPT}")
+@query(f"with {LINES} select doc_id, c as chunk from s where {KEPT}")
 def filter_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return stats.filter_chunks(short_chunks(spark, d)).select("doc_id", "chunk")
+    return stats.filter_chunks(line_chunks(spark, d)).select("doc_id", "chunk")
 
 
 @query("select source, doc_id, row_number() over (partition by source order by doc_id) as number, (row_number() over (partition by source order by doc_id) - 1) // 10 as batch from documents")
@@ -834,6 +880,45 @@ def session_log(spark: SparkSession, d: str) -> DataFrame:
     return store.interactions(rows).select("conv_id", "turn", "entry")
 
 
+@query(
+    """with c as (select sha256(doc_id || ':0') as id, sha256(text) as document_sha256 from documents union all select sha256(doc_id || ':1'), sha256(source) from documents)
+    select *, (select count(*) from c) as n, true as was_there, false as is_there from c"""
+)
+def collections(spark: SparkSession, d: str) -> DataFrame:
+    """A collection is written, replaced, added to, read and dropped."""
+    name = f"fw_collection_{uuid.uuid4().hex}"
+    chunk = lambda no, c: store.records(documents(spark, d).select("doc_id", F.lit(no).alias("chunk_no"), F.col(c).alias("chunk")))
+    store.replace_collection(chunk(9, "source"), name)
+    store.replace_collection(chunk(0, "text"), name)
+    store.append_collection(chunk(1, "source"), name)
+    kept, there = written(spark.table(name).select("id", "document"), "collection"), store.collection_exists(spark, name)
+    spark.sql(f"drop table {name}")
+    n = kept.count()
+    return kept.select("id", F.sha2(F.col("document").cast("binary"), 256).alias("document_sha256"), F.lit(n).cast("long").alias("n"), F.lit(there).alias("was_there"), F.lit(store.collection_exists(spark, name)).alias("is_there"))
+
+
+@query(
+    f"""with recursive {pieces_sql('documents', 512, 50)}, kept as (select sha256(doc_id || ':' || chunk_no) as id, c from (select doc_id, chunk_no, chunk as c from pieces) where {KEPT})
+    select min(id) as id, sha256(arg_min(c, id)) as document_sha256, count(*) as n from kept"""
+)
+def reset_collection(spark: SparkSession, d: str) -> DataFrame:
+    """A collection made anew from documents, and its first record as a probe."""
+    name = f"fw_collection_{uuid.uuid4().hex}"
+    probe = written(store.reset_collection(documents(spark, d), name), "probe")
+    n = spark.table(name).count()
+    spark.sql(f"drop table {name}")
+    return probe.select("id", F.sha2(F.col("document").cast("binary"), 256).alias("document_sha256"), F.lit(n).cast("long").alias("n"))
+
+
+@query(f"with {SQL2.replace('near as', 'all_near as')} select id, round(distance, 6) as distance from all_near where query_id = 7 and rank <= 10")
+def vector_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Records in cells; a search of all cells is exact."""
+    vectors = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    q = vectors.where("id = 7").first()
+    rows, centres = store.add_cells(vectors, 8)
+    return store.search_cells(rows, centres, [float(x) for x in q.embedding], 10, metric="sql2").withColumn("distance", F.round("distance", 6))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(Q)
 

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioworks.functions.text import chunk_id, metadata_json, metadata_map
+from folioworks.operators.search import vector_topk
 from folioworks.operators.stats import batch_numbers, filter_chunks
 
+from .scratch import written
+
 META = ["title", "level", "parent", "tokens", "split_by_llm", "file", "chunk_part", "llm_decision", "sub_chunk_part", "split_reason", "page_start"]
 
 
@@ -64,11 +68,37 @@ def nearest_cells(centres: Sequence[Sequence[float]], query: Sequence[float], n:
     return order[:n]
 
 
-def insert_batches(rows: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, size: int = 100) -> None:
-    """Insert records by JDBC in batches."""
+def insert_batches(rows: DataFrame, write: Callable[[list[dict]], None], size: int = 100) -> DataFrame:
+    """Insert records in batches by ``write`` (a client of the store, on the executors): part, batch, n and error, null
+    where the batch went in. A batch that fails is reported and skipped, the others go on."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            done = []
+            for no, at in enumerate(range(0, len(pdf), size)):
+                some = pdf.iloc[at : at + size]
+                try:
+                    write(some.to_dict("records"))
+                    done.append((no, len(some), None))
+                except Exception as e:
+                    done.append((no, len(some), str(e)))
+            yield pd.DataFrame(done, columns=["batch", "n", "error"])
+
+    report = rows.mapInPandas(run, "batch int, n int, error string").select(F.spark_partition_id().alias("part"), "batch", "n", "error")
+    return written(report, "insert-report")  # inserted once, whatever is done with the report
+
+
+def insert_jdbc(rows: DataFrame, url: str, table: str, properties: dict[str, str] | None = None, size: int = 100) -> None:
+    """Insert records by JDBC in batches; all or an error."""
     rows.write.mode("append").option("batchsize", size).jdbc(url, table, properties=properties or {})
 
 
+def search_cells(table: DataFrame, centres: Sequence[Sequence[float]], query: Sequence[float], k: int, cells: int | None = None, metric: str = "cosine") -> DataFrame:
+    """id, distance of the k nearest records to one query, from the partitions of the nearest cells alone (all: exact)."""
+    some = nearest_cells(centres, query, len(centres) if cells is None else cells)
+    return vector_topk(table.where(F.col("cell").isin(some)), list(query), k, metric, "id", "embedding")
+
+
 def batched(rows: DataFrame, size: int = 100) -> DataFrame:
     return batch_numbers(rows, ["doc_id"], ["chunk_no"], size)
 
