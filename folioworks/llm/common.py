@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
-import tempfile
 import time
 import uuid
 from collections.abc import Iterable, Iterator
@@ -13,26 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioworks.sources.scratch import shared_dir as scratch_dir
+
 #: ASCII white space, as the operators' contracts give it.
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
-_own_dir: dict[str, str] = {}
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only in local mode without that setting."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        holder = tempfile.TemporaryDirectory(prefix="folioworks-")
-        atexit.register(holder.cleanup)
-        _own_dir[app] = "file://" + holder.name
-    return _own_dir[app]
-
 
 def write_scratch(df: DataFrame, name: str) -> str:
     """Write df as Parquet in the shared folder, which cuts its lineage; returns the path."""
