@@ -5,9 +5,9 @@ A dimension is a term: a block's summary holds each term's largest and smallest
 query's terms bound every score in the block. A query visits the blocks in descending order of that bound, scores a
 block through its forward index (the block's matrix), and stops when the bound falls below its k-th score.
 
-Distribution: blocks lie in groups of a fixed size, queries in chunks of a fixed size; a task has one group and one
-chunk, so its memory does not grow with the input. Chunks meet groups in rounds: first the group their own ids come
-from, then the next 4, the next 16 and so on. Each round begins with the k-th scores of the rounds before it: the
+Distribution: neighbouring blocks form groups and pieces of queries chunks, both of at most a fixed size; a task has one
+group and one chunk, so its memory does not grow with the input. Chunks meet groups in rounds: first the group their
+own ids come from, then the next 8, the next 64 and so on. Each round begins with the k-th scores of the rounds before it: the
 small table of block summaries is held against them, and only blocks whose bound reaches the k-th score of a query of
 the chunk are sent to it. After each round at most k rows of each query stay.
 
@@ -32,13 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release, through_scratch
+from .common import through_scratch
 
 SCALE = 64
-#: Vectors in a block, and at most in a group and in a chunk of queries.
-BLOCK, GROUP, CHUNK = 256, 32768, 4096
+#: At most so many vectors are in a block and queries in a piece, blocks in a group and pieces in a chunk.
+BLOCK, PIECE, GROUP, CHUNK = 256, 512, 128, 8
 #: Groups whose summaries a task holds at once; how much wider each round is than the one before.
-SUMMARIES, WIDEN = 64, 4
+SUMMARIES, WIDEN = 64, 8
 LOW, HIGH = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 #: No floor yet, and no result yet in 64 bits or in Python's integers.
 NONE, NONE_WIDE = LOW, -(1 << 100)
@@ -114,10 +114,13 @@ def packer(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
 
 def blocks_of(rows: DataFrame, parts: int, size: int, name: str) -> DataFrame:
-    """Rows dealt out by ranges of ids (rows of one id may lie in several), as written blocks."""
+    """Rows dealt out by ranges of ids (rows of one id may lie in several), as written blocks, numbered in that order."""
     ranged = rows.repartitionByRange(parts, "vec_id", "row").sortWithinPartitions("vec_id", "row")
     ranged = ranged.select(F.spark_partition_id().alias("part"), "row", "vec_id", "v")
-    return through_scratch(ranged.mapInArrow(packer(size), SHAPE), name)
+    blocks = through_scratch(ranged.mapInArrow(packer(size), SHAPE), name)
+    sizes = blocks.groupBy("part").agg(F.count("*").alias("c"))  # one row for each partition
+    before = sizes.select("part", (F.sum("c").over(Window.orderBy("part")) - F.col("c")).alias("before"))
+    return blocks.join(before, "part").withColumn("no", F.col("before") + F.col("seq")).drop("part", "seq", "before")
 
 
 def padded(m: np.ndarray, dim: int) -> np.ndarray:
@@ -201,27 +204,35 @@ def of_row(r, name: str, dim: int, n: int | None = None) -> np.ndarray:
     return padded(levels(r.kind, getattr(r, name), r.n if n is None else n, r.dim), dim)
 
 
-def floors_of(r) -> np.ndarray:
-    """Floor of each query of a chunk."""
-    floor = np.full(r.n, NONE, np.int64)
-    for f in r.floors if r.floors is not None else []:
-        floor[f["q"]] = f["floor"]
-    return floor
+def asked_of(pdf: pd.DataFrame, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Queries of a tile's pieces: piece, place in it, id, row, vector and floor of each."""
+    pieces, places, ids, rows, vectors, floors = [], [], [], [], [], []
+    for r in pdf.sort_values("no").itertuples():
+        floor = np.full(r.n, NONE, np.int64)
+        for f in r.floors if r.floors is not None else []:
+            floor[f["q"]] = f["floor"]
+        pieces.append(np.full(r.n, r.no, np.int64))
+        places.append(np.arange(r.n))
+        ids.append(np.frombuffer(r.ids, "<i8"))
+        rows.append(np.frombuffer(r.rows, "<i8"))
+        vectors.append(of_row(r, "mat", dim))
+        floors.append(floor)
+    return np.concatenate(pieces), np.concatenate(places), np.concatenate(ids), np.concatenate(rows), stacked(vectors), np.concatenate(floors)
 
 
-FOUND = "chunk long, q int, query_id long, vec_id long, row long, score long"
+FOUND = "piece long, q int, query_id long, vec_id long, row long, score long"
 
 
 def tile_search(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         dim = max(1, int(pdf.dim.max()))
         asked = pdf[pdf.is_query]
-        blocks = [(np.frombuffer(r.ids, "<i8"), np.frombuffer(r.rows, "<i8"), of_row(r, "mat", dim)) for r in pdf[~pdf.is_query].sort_values("seq").itertuples()]
+        blocks = [(np.frombuffer(r.ids, "<i8"), np.frombuffer(r.rows, "<i8"), of_row(r, "mat", dim)) for r in pdf[~pdf.is_query].sort_values("no").itertuples()]
         if not blocks or asked.empty:
-            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("chunk", "q", "query_id", "vec_id", "row", "score")})
-        r = next(asked.itertuples())
-        q, ids, rows, score = search_tile(np.frombuffer(r.rows, "<i8"), of_row(r, "mat", dim), floors_of(r), blocks, k)
-        return pd.DataFrame({"chunk": r.chunk, "q": q.astype(np.int32), "query_id": np.frombuffer(r.ids, "<i8")[q], "vec_id": ids, "row": rows, "score": score})
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("piece", "q", "query_id", "vec_id", "row", "score")})
+        pieces, places, query_ids, query_rows, vectors, floors = asked_of(asked, dim)
+        q, ids, rows, score = search_tile(query_rows, vectors, floors, blocks, k)
+        return pd.DataFrame({"piece": pieces[q], "q": places[q].astype(np.int32), "query_id": query_ids[q], "vec_id": ids, "row": rows, "score": score})
 
     return run
 
@@ -231,44 +242,47 @@ def blocks_to_visit(pdf: pd.DataFrame) -> pd.DataFrame:
     dim = max(1, int(pdf.dim.max()))
     asked, known = pdf[pdf.is_query], pdf[~pdf.is_query]
     if asked.empty or known.empty:
-        return pd.DataFrame({"chunk": np.zeros(0, np.int64), "part": np.zeros(0, np.int32), "seq": np.zeros(0, np.int32)})
-    r = next(asked.itertuples())
-    q = of_row(r, "mat", dim)
+        return pd.DataFrame({"chunk": np.zeros(0, np.int64), "no": np.zeros(0, np.int64)})
+    *_, q, floors = asked_of(asked, dim)
     tops, lows = (stacked([of_row(b, c, dim, 1) for b in known.itertuples()]) for c in ("tops", "lows"))
     kind = exact_type(max(largest(tops), largest(lows)) * largest(q) * dim)
-    reached = (bounds(in_type(q, kind), in_type(tops, kind), in_type(lows, kind)) >= floors_of(r)[:, None]).any(0)
-    return pd.DataFrame({"chunk": r.chunk, "part": known.part[reached], "seq": known.seq[reached]})
+    reached = (bounds(in_type(q, kind), in_type(tops, kind), in_type(lows, kind)) >= floors[:, None]).any(0)
+    return pd.DataFrame({"chunk": int(pdf.chunk.iloc[0]), "no": known.no[reached]})
 
 
 def topk_search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", query_mod: int = 20, k: int = 20, group: int = GROUP, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score of the k best other vectors of every row whose id is divisible by query_mod.
 
-    group, chunk: at most about so many vectors, and so many queries, meet in a task.
+    group, chunk: at most so many blocks, and pieces of queries, meet in a task; fewer where that leaves cores idle.
     """
     spark = vectors.sparkSession
     cores = spark.sparkContext.defaultParallelism
     rows = through_scratch(taking_part(vectors, id_col, vec_col), "vectors")
     asking = rows.where(F.col("vec_id") % query_mod == 0)
     n, n_asking = rows.count(), asking.count()
-    docs = blocks_of(rows, max(1, -(-n // group), min(cores, -(-n // (8 * BLOCK)))), BLOCK, "vector-blocks")
-    asked = blocks_of(asking, max(1, -(-n_asking // chunk), min(cores, -(-n_asking // BLOCK))), chunk, "query-chunks")
-    asked = asked.withColumn("chunk", F.col("part").cast("long") * (1 << 20) + F.col("seq"))
-    groups, parts = ((x or 0) + 1 for x in (docs.agg(F.max("part")).first()[0], asked.agg(F.max("part")).first()[0]))
-
-    own = F.least(F.lit(groups - 1), F.floor((F.col("part") + 0.5) * groups / parts)).cast("int")  # ids of both are in the same order
-    common = ["chunk", "grp", "is_query", "part", "seq", "n", "dim", "kind", "ids", "rows", "mat", "tops", "lows", "floors"]
+    docs = blocks_of(rows, max(1, -(-n // (group * BLOCK)), min(cores, -(-n // BLOCK))), BLOCK, "vector-blocks")
+    asked = blocks_of(asking, max(1, -(-n_asking // (chunk * PIECE)), min(cores, -(-n_asking // BLOCK))), PIECE, "query-pieces")
+    n_blocks, n_pieces = docs.count(), asked.count()
+    group, chunk = max(1, min(group, -(-n_blocks // cores))), max(1, min(chunk, -(-n_pieces // cores)))
+    groups, chunks = -(-n_blocks // group), -(-n_pieces // chunk)
+    number = lambda c, size: F.floor(F.col(c) / size)
+    docs = docs.withColumn("grp", number("no", group))
+    asked = asked.withColumn("chunk", number("no", chunk))
+
+    own = F.least(F.lit(groups - 1), F.floor((F.col("chunk") + 0.5) * groups / max(1, chunks)))  # ids of both are in the same order
+    common = ["chunk", "grp", "is_query", "no", "n", "dim", "kind", "ids", "rows", "mat", "tops", "lows", "floors"]
     none = F.lit(None).cast("array<struct<q:int,floor:long>>")
     best: DataFrame | None = None
     first, width = 0, 1
-    while first < groups:
-        last = min(groups, first + width)
+    while first < max(1, groups):
+        last = min(max(1, groups), first + width)
         floors = asked.withColumn("floors", none)
         if best is not None:
-            kth = best.groupBy("chunk", "q").agg(F.count("*").alias("c"), F.min("score").alias("floor")).where(F.col("c") >= k)
-            floors = asked.join(kth.groupBy("chunk").agg(F.collect_list(F.struct("q", "floor")).alias("floors")), "chunk", "left")  # at most a chunk's queries
-            floors = through_scratch(floors, "query-floors")
-        near = F.transform(F.sequence(F.lit(first), F.lit(last - 1)), lambda i: ((own + i) % groups).cast("int"))
-        pairs = floors.select("chunk", F.explode(near).alias("grp"))
+            kth = best.groupBy("piece", "q").agg(F.count("*").alias("c"), F.min("score").alias("floor")).where(F.col("c") >= k)
+            kth = kth.groupBy(F.col("piece").alias("no")).agg(F.collect_list(F.struct("q", "floor")).alias("floors"))  # at most a piece's queries
+            floors = through_scratch(asked.join(kth, "no", "left"), "query-floors")
+        near = F.transform(F.sequence(F.lit(first), F.lit(last - 1)), lambda i: (own + i) % groups)
+        pairs = floors.select("chunk").distinct().select("chunk", F.explode(near).alias("grp"))
 
         def tiles(blocks: DataFrame, keys: DataFrame, by: Column, most: int) -> DataFrame:
             """Rows of blocks (with chunk and grp) and, for each chunk and grp of keys, its queries; together by chunk and grp."""
@@ -277,20 +291,17 @@ def topk_search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
             return block_rows.select(*common).unionByName(asked_rows.select(*common)).repartition(min(most, 20000), "chunk", "grp")
 
         if best is None:
-            visits = docs.join(pairs.withColumnRenamed("grp", "part"), "part")
+            visits = docs.join(pairs, "grp")
         else:
             summaries = docs.drop("ids", "rows", "mat").withColumns({c: F.lit(None).cast("binary") for c in ("ids", "rows", "mat")})
-            some = (F.col("grp") / SUMMARIES).cast("int")
-            known = summaries.join(pairs.withColumnRenamed("grp", "part"), "part")
-            keys = pairs.select("chunk", some.alias("grp")).distinct()
-            tests = tiles(known, keys, (F.col("part") / SUMMARIES).cast("int"), max(cores, parts * -(-(last - first) // SUMMARIES)))
-            alive = through_scratch(tests.groupBy("chunk", "grp").applyInPandas(blocks_to_visit, "chunk long, part int, seq int"), "blocks-to-visit")
-            visits = docs.join(alive, ["part", "seq"])
-            pairs = alive.select("chunk", F.col("part").alias("grp")).distinct()
-        found = tiles(visits, pairs, F.col("part"), max(cores, parts * (last - first))).groupBy("chunk", "grp").applyInPandas(tile_search(k), FOUND)
-        order = Window.partitionBy("chunk", "q").orderBy(F.col("score").desc(), "vec_id", "row")
+            many = number("grp", SUMMARIES)
+            tests = tiles(summaries.join(pairs, "grp"), pairs.select("chunk", many.alias("grp")).distinct(), many, max(cores, chunks * -(-(last - first) // SUMMARIES)))
+            alive = through_scratch(tests.groupBy("chunk", "grp").applyInPandas(blocks_to_visit, "chunk long, no long"), "blocks-to-visit")
+            visits = docs.join(alive, "no")
+            pairs = alive.select("chunk", number("no", group).alias("grp")).distinct()
+        found = tiles(visits, pairs, F.col("grp"), max(cores, chunks * (last - first))).groupBy("chunk", "grp").applyInPandas(tile_search(k), FOUND)
+        order = Window.partitionBy("piece", "q").orderBy(F.col("score").desc(), "vec_id", "row")
         found = found if best is None else found.unionByName(best.drop("rank"))
         best = through_scratch(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best-so-far")
-        release(spark)
         first, width = last, width * WIDEN
     return best.select("query_id", "rank", "vec_id", "score")

@@ -28,10 +28,11 @@ def found(df):
     return Counter(tuple(r) for r in df.select("query_id", "rank", "vec_id", "score").collect())
 
 
-@pytest.mark.parametrize("group, block, chunk", [(32768, 256, 4096), (24, 8, 4)])
+@pytest.mark.parametrize("group, block, chunk", [(128, 256, 8), (3, 8, 2)])
 def test_topk(spark, monkeypatch, group, block, chunk):
     monkeypatch.setattr(tk, "BLOCK", block)
     monkeypatch.setattr(tk, "SUMMARIES", 3)
+    monkeypatch.setattr(tk, "PIECE", block // 2)
     rng = np.random.default_rng(1)
     rows = [(i, [float(x) for x in np.round(rng.standard_normal(8) / 4, 2)]) for i in range(200)]
     rows += [(i, rows[7][1]) for i in range(300, 380)]  # a very common vector: ties
@@ -42,11 +43,12 @@ def test_topk(spark, monkeypatch, group, block, chunk):
 
 
 @pytest.mark.parametrize("top", [3e4, 1e6, 1e9, 1e17, 1e300, 1e308])
-def test_topk_large_components(spark, top):
+def test_topk_large_components(spark, monkeypatch, top):
+    monkeypatch.setattr(tk, "BLOCK", 8)
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in top * rng.uniform(-1, 1, 6)]) for i in range(50)] + [(100, [1.0] * 6), (120, [0.01, -0.01, 0.5, 0.0, 0.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    assert found(tk.topk_search(df, group=16, chunk=2)) == brute(rows, 20)
+    assert found(tk.topk_search(df, group=2, chunk=1)) == brute(rows, 20)
 
 
 def test_topk_of_the_contract(spark):
@@ -63,9 +65,10 @@ def test_topk_few_and_none(spark):
 def test_later_rounds_get_fewer_blocks():
     """Blocks whose bound is below all k-th scores are not sent."""
     near, far = np.full((4, 2), 100, np.int8), np.full((4, 2), -100, np.int8)
-    asked = pd.DataFrame([{"chunk": 0, "is_query": True, "part": 0, "seq": 0, "n": 1, "dim": 2, "kind": "b", "mat": np.array([[1, 1]], np.int8).tobytes(), "floors": [{"q": 0, "floor": 50}]}])
-    known = pd.DataFrame([{"chunk": 0, "is_query": False, "part": p, "seq": 0, "n": 4, "dim": 2, "kind": "b", "tops": m.max(0).tobytes(), "lows": m.min(0).tobytes()} for p, m in ((1, near), (2, far))])
-    assert tk.blocks_to_visit(pd.concat([asked, known])).part.tolist() == [1]
+    nothing = np.zeros(1, "<i8").tobytes()
+    asked = pd.DataFrame([{"chunk": 0, "is_query": True, "no": 0, "n": 1, "dim": 2, "kind": "b", "ids": nothing, "rows": nothing, "mat": np.array([[1, 1]], np.int8).tobytes(), "floors": [{"q": 0, "floor": 50}]}])
+    known = pd.DataFrame([{"chunk": 0, "is_query": False, "no": p, "n": 4, "dim": 2, "kind": "b", "tops": m.max(0).tobytes(), "lows": m.min(0).tobytes()} for p, m in ((1, near), (2, far))])
+    assert tk.blocks_to_visit(pd.concat([asked, known])).no.tolist() == [1]
 
 
 def url_parts(url):
