@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 # Characters that count as white space in Unicode strings, and the character class of words.
 WS = r"[\s\x0b\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-NOT_WORD = r"[^\p{L}\p{N}_\x{0600}-\x{06FF}" + WS[1:]
+NOT_WORD = r"[^\p{L}\p{N}_\x{0600}-\x{06FF}]"
 # The pattern of a pipe table (header, rule, rows), and sizes.
 TABLE = r"\|(.+)\|[\r\n]+\|[-:\s|]+\|[\r\n]+((?:\|.+\|[\r\n]*)+)"
 EMBED_CHARS = 10_000
@@ -66,7 +66,7 @@ def split_paragraphs(text: Column) -> Column:
 
 def keyword_tokens(text: Column) -> Column:
     """Lower-case words; other characters than letters, digits, underscore and the Arabic block divide them."""
-    return F.filter(F.split(F.regexp_replace(F.lower(text), NOT_WORD, " "), rf"{WS}+", -1), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), rf"{NOT_WORD}+", -1), "")
 
 
 def md_tables(text: Column) -> Column:
