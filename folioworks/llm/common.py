@@ -51,6 +51,17 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+#: Rows of an Arrow batch. Rows are whole documents here, and Spark's default of 10,000 of them is a lot of memory beside
+#: the heap; a session that has chosen another number keeps it.
+BATCH_ROWS, DEFAULT_ROWS = "1024", "10000"
+
+
+def modest_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == DEFAULT_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -77,6 +88,7 @@ def text_or_empty(docs: DataFrame, text_col: str = "text") -> Column:
 
 def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text): null texts are empty, other columns cannot clash."""
+    modest_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text_or_empty(docs, text_col).alias("text"))
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, doc_texts, text_batches
+from .common import crc_mod, doc_texts, modest_batches, text_batches
 
 DIM, WIDTH, FILTERS, HIDDEN = 8, 8, 32, 32
 STEP, CELL, CHUNK, STRIDE = 2, 64, 8, 7  # bytes between filter places, bytes in a cell, cells in a chunk, between chunks
@@ -235,4 +235,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
             if good:
                 yield batch.filter(pa.array(np.concatenate(good) >= threshold))
 
+    modest_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
