@@ -9,7 +9,8 @@ chance of 3e-7) and then, in the same condition, by their sets. So a large group
 key still cost a cheap comparison each.
 
 SimHash's links (3 words, 2 bits) are added, so nothing that they join stays apart. Components, null and repeated ids,
-and empty texts are as in simhash_dedup; texts without words are one node.
+empty tables and empty texts are as in simhash_dedup; texts without words are one node; a text of any length gives the
+set of all its shingles.
 """
 
 from __future__ import annotations

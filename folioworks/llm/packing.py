@@ -10,7 +10,8 @@ padding. No pass moves ids between tasks.
 Tokenising remembers the ids of words, as the tokenizer's merges never cross words; the tokenizer itself encodes each
 new word, and all texts with characters outside of a plain range (where words may depend on their surroundings).
 
-Defined results: null text is empty and has the end id alone; repeated rows are packed each; null ids stay null; an
+Defined results: null text is empty and has the end id alone; a text of any length is tokenised whole, in one row, and
+cut into as many pieces as it takes; repeated rows are packed each; null ids stay null; an
 empty table gives no rows; only the named columns are read.
 """
 

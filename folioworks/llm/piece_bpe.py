@@ -10,7 +10,8 @@ Characters that no piece has become byte pieces.
 
 Bounded memory: remembered segments and pairs are dropped when they reach a fixed number.
 
-Defined results: null text is empty and has no ids; repeated rows each give a row; an empty table gives no rows.
+Defined results: null text is empty and has no ids; a text of any length is encoded whole; null ids stay null; repeated
+rows each give a row; an empty table gives no rows; only the named columns are read, so others cannot clash.
 """
 
 from __future__ import annotations

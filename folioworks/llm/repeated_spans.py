@@ -22,7 +22,8 @@ made, whose unique phrases are as large as the corpus' unique text.
 Equality is by 128 bits of hashes (inner parse and covered bytes, or the string itself); hashes of phrases only
 decide what is looked at further.
 
-Defined results: null text is empty; documents shorter than length lose nothing; null ids stay null; repeated rows
+Defined results: null text is empty; a text longer than a block is a block by itself and worked on in slices, within
+about 40 bytes of memory for each of its own; documents shorter than length lose nothing; null ids stay null; repeated rows
 are copies of each other; an empty table gives no rows; only the named columns are read.
 """
 

@@ -9,12 +9,15 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from folioworks.llm import katz_lm, packing, piece_bpe, quality, repeated_spans, secret_scan
+from folioworks.llm.exact_dedup import exact_dedup
+from folioworks.llm.simhash_dedup import simhash_dedup
 
 WORD_FILE, PIECE_FILE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "piece_bpe_32k.model"))
 ODD = ["  ", " ", "   ", "\n", " \n", "\n ", "\t", "\r\n", "a", "The", "the", "in", "é", "É", "日", "▁", "xxxxxxx", "😀", "=", "==", "ß", "0", "12", "</s>", "<|endoftext|>", "<|", "'s", "'LL", "'", "½", "ª", "\xa0", "\xad", "İ", "Σ", "\x00", "\x1c", "don't", "!", ".", "ing"]
@@ -371,3 +374,28 @@ def test_sample_is_of_labels_that_the_table_has(spark, prose_of):
     long = spark.createDataFrame([(1, "a" * 100_000 + "b" * 100_000)], "doc_id long, text string")
     cut, _ = quality.labelled_sample(long, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), "doc_id", "text", 10, 5, 6144, 8)
     assert len(cut[0]) == 8 and {len(w) for w in cut[0]} == {6144} and any(b"b" in w for w in cut[0])
+
+
+def test_very_long_texts(spark, prose_of):
+    """Texts far longer than a block or a piece are worked on whole by every operator, beside a short one."""
+    long = prose_of(77, 150_000)
+    texts = [long, "short one", long.replace(" ", "  ", 1)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    counts = {i: len(t.split()) + 1 for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in katz_lm.score_texts(df).collect()} == counts
+    tokenizer = Tokenizer.from_file(WORD_FILE)
+    want = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    pieces = packing.pack(df, WORD_FILE).collect()
+    assert {i: sum(r.length for r in pieces if r.doc_id == i) for i in want} == want and all(r.length <= 4096 for r in pieces)
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r.doc_id: r.ids_sha256 for r in piece_bpe.encode_decode(df, public_tokenizers.path("piece_bpe_32k.model")).collect()}
+    assert got == {i: hashlib.sha256(",".join(map(str, library.encode(t))).encode()).hexdigest() for i, t in enumerate(texts)}
+    groups = {r.doc_id: (r.keep_id, r.group_size, r.text_sha256) for r in exact_dedup(df).collect()}
+    assert groups[0] == groups[2] == (0, 2, hashlib.sha256(long.encode()).hexdigest()) and groups[1][:2] == (1, 1)
+    spans = {r.doc_id: (r.n_bytes, sum(x.end - x.start for x in r.spans)) for r in repeated_spans.repeated_spans(df, with_text=False).collect()}
+    assert spans[1] == (9, 0) and all(spans[i][0] == len(texts[i]) and spans[i][1] >= len(texts[i]) - 1 - len(long.split(" ", 1)[0]) for i in (0, 2))
+    prints = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash_dedup(df).collect()}
+    words = long.lower().split()
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]), 42) for i in range(len(words) - 2)]
+    bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert prints[0] == prints[2] == (f"{bits:016x}", 0) and prints[1][1] == 1
