@@ -24,10 +24,12 @@ def write_scratch(df: DataFrame, name: str) -> str:
     return path
 
 
-def through_scratch(df: DataFrame, name: str) -> DataFrame:
-    """df written in the shared folder and read again."""
-    schema = df.schema
-    return df.sparkSession.read.schema(schema).parquet(write_scratch(df, name))
+def through_scratch(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
+    """df written in the shared folder and read again; made gets the path, for drop_scratch."""
+    schema, path = df.schema, write_scratch(df, name)
+    if made is not None:
+        made.append(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def drop_scratch(spark: SparkSession, *paths: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import through_scratch
+from .common import drop_scratch, through_scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,7 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours are never gathered: its smallest one is an aggregate, which is joined back to the edges.
     """
     both = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    both = through_scratch(both, "star")
+    made: list[str] = []
+    both = through_scratch(both, "star", made)
     nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
     def mark(e: DataFrame) -> tuple:
@@ -29,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = each.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
-        both = through_scratch(small.where("u <> v"), "star")
+        both = through_scratch(small.where("u <> v"), "star", made)
+        drop_scratch(edges.sparkSession, made.pop(0))  # the step before, which nothing reads any more
         now = mark(both)
         if now == seen:
             break

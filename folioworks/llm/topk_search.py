@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import through_scratch
+from .common import drop_scratch, through_scratch
 
 SCALE = 64
 #: At most so many vectors are in a block and queries in a piece, blocks in a group and pieces in a chunk.
@@ -113,11 +113,11 @@ def packer(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
     return run
 
 
-def blocks_of(rows: DataFrame, parts: int, size: int, name: str) -> DataFrame:
+def blocks_of(rows: DataFrame, parts: int, size: int, name: str, made: list[str]) -> DataFrame:
     """Rows dealt out by ranges of ids (rows of one id may lie in several), as written blocks, numbered in that order."""
     ranged = rows.repartitionByRange(parts, "vec_id", "row").sortWithinPartitions("vec_id", "row")
     ranged = ranged.select(F.spark_partition_id().alias("part"), "row", "vec_id", "v")
-    blocks = through_scratch(ranged.mapInArrow(packer(size), SHAPE), name)
+    blocks = through_scratch(ranged.mapInArrow(packer(size), SHAPE), name, made)
     sizes = blocks.groupBy("part").agg(F.count("*").alias("c"))  # one row for each partition
     before = sizes.select("part", (F.sum("c").over(Window.orderBy("part")) - F.col("c")).alias("before"))
     return blocks.join(before, "part").withColumn("no", F.col("before") + F.col("seq")).drop("part", "seq", "before")
@@ -257,11 +257,12 @@ def topk_search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
     """
     spark = vectors.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    rows = through_scratch(taking_part(vectors, id_col, vec_col), "vectors")
+    made: list[str] = []
+    rows = through_scratch(taking_part(vectors, id_col, vec_col), "vectors", made)
     asking = rows.where(F.col("vec_id") % query_mod == 0)
     n, n_asking = rows.count(), asking.count()
-    docs = blocks_of(rows, max(1, -(-n // (group * BLOCK)), min(cores, -(-n // BLOCK))), BLOCK, "vector-blocks")
-    asked = blocks_of(asking, max(1, -(-n_asking // (chunk * PIECE)), min(cores, -(-n_asking // BLOCK))), PIECE, "query-pieces")
+    docs = blocks_of(rows, max(1, -(-n // (group * BLOCK)), min(cores, -(-n // BLOCK))), BLOCK, "vector-blocks", made)
+    asked = blocks_of(asking, max(1, -(-n_asking // (chunk * PIECE)), min(cores, -(-n_asking // BLOCK))), PIECE, "query-pieces", made)
     n_blocks, n_pieces = docs.count(), asked.count()
     group, chunk = max(1, min(group, -(-n_blocks // cores))), max(1, min(chunk, -(-n_pieces // cores)))
     groups, chunks = -(-n_blocks // group), -(-n_pieces // chunk)
@@ -280,7 +281,7 @@ def topk_search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
         if best is not None:
             kth = best.groupBy("piece", "q").agg(F.count("*").alias("c"), F.min("score").alias("floor")).where(F.col("c") >= k)
             kth = kth.groupBy(F.col("piece").alias("no")).agg(F.collect_list(F.struct("q", "floor")).alias("floors"))  # at most a piece's queries
-            floors = through_scratch(asked.join(kth, "no", "left"), "query-floors")
+            floors = through_scratch(asked.join(kth, "no", "left"), "query-floors", made)
         near = F.transform(F.sequence(F.lit(first), F.lit(last - 1)), lambda i: (own + i) % groups)
         pairs = floors.select("chunk").distinct().select("chunk", F.explode(near).alias("grp"))
 
@@ -296,12 +297,13 @@ def topk_search(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
             summaries = docs.drop("ids", "rows", "mat").withColumns({c: F.lit(None).cast("binary") for c in ("ids", "rows", "mat")})
             many = number("grp", SUMMARIES)
             tests = tiles(summaries.join(pairs, "grp"), pairs.select("chunk", many.alias("grp")).distinct(), many, max(cores, chunks * -(-(last - first) // SUMMARIES)))
-            alive = through_scratch(tests.groupBy("chunk", "grp").applyInPandas(blocks_to_visit, "chunk long, no long"), "blocks-to-visit")
+            alive = through_scratch(tests.groupBy("chunk", "grp").applyInPandas(blocks_to_visit, "chunk long, no long"), "blocks-to-visit", made)
             visits = docs.join(alive, "no")
             pairs = alive.select("chunk", number("no", group).alias("grp")).distinct()
         found = tiles(visits, pairs, F.col("grp"), max(cores, chunks * (last - first))).groupBy("chunk", "grp").applyInPandas(tile_search(k), FOUND)
         order = Window.partitionBy("piece", "q").orderBy(F.col("score").desc(), "vec_id", "row")
         found = found if best is None else found.unionByName(best.drop("rank"))
-        best = through_scratch(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best-so-far")
+        best = through_scratch(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best-so-far", made)
         first, width = last, width * WIDEN
+    drop_scratch(spark, *made[:-1])  # all but the last round's result
     return best.select("query_id", "rank", "vec_id", "score")

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from folioworks.llm import common
 from folioworks.llm import topk_search as tk
 from folioworks.llm.url_filter import RULES, url_filter
 
@@ -62,6 +63,13 @@ def test_topk_few_and_none(spark):
     assert tk.topk_search(df.limit(0)).count() == 0
 
 
+def test_only_the_result_stays(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "scratch_dir", lambda _: f"file://{tmp_path}")
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(600)], "vec_id long, embedding array<double>")
+    assert tk.topk_search(df, group=1).count() == 600
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["best-so-far"]
+
+
 def test_later_rounds_get_fewer_blocks():
     """Blocks whose bound is below all k-th scores are not sent."""
     near, far = np.full((4, 2), 100, np.int8), np.full((4, 2), -100, np.int8)
