@@ -42,10 +42,11 @@ def drop_scratch(spark: SparkSession, *paths: str) -> None:
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps whose results are written; else they stay until the driver happens
     to collect its garbage. On a cluster listeners get a moment to let go of the last query first."""
-    if not spark.sparkContext.master.startswith("local["):
-        time.sleep(1)
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        if not spark.sparkContext.master.startswith("local["):
+            time.sleep(1)
+        gc.collect()
+        spark._jvm.System.gc()
 
 
 def plan_bytes(df: DataFrame) -> int:

@@ -43,7 +43,7 @@ from .common import crc_mod, doc_texts, release, text_batches, through_scratch,
 K = 5
 #: No word has a space, so this stands for the end of a document.
 END = b" "
-CODED_BYTES = 6 << 20
+CODED_BYTES = 4 << 20
 #: Kinds of questions: an order's counts have its number, its contexts' weights that and CONTEXTS.
 CONTEXTS = 100
 
