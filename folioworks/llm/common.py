@@ -54,15 +54,15 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-#: Rows of an Arrow batch. Rows are whole documents here, and Spark's default of 10,000 of them is a lot of memory beside
-#: the heap; a session that has chosen another number keeps it.
-BATCH_ROWS, DEFAULT_ROWS = "1024", "10000"
+#: Rows and bytes of an Arrow batch, and Spark's defaults. Rows are whole documents or blocks here, and as many as by
+#: default are a lot of memory beside the heap; a session that has chosen other numbers keeps them.
+BATCHES = {"maxRecordsPerBatch": ("10000", "1024"), "maxBytesPerBatch": ("67108864b", "8m")}
 
 
 def modest_batches(spark: SparkSession) -> None:
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == DEFAULT_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    for name, (default, chosen) in BATCHES.items():
+        if spark.conf.get(f"spark.sql.execution.arrow.{name}", None) == default:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", chosen)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
