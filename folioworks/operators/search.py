@@ -2,71 +2,202 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from folioworks.functions.text import keyword_tokens
-from folioworks.sources.scratch import written
+from folioworks.sources.scratch import sent, written
 
 # Parameters of the keyword score and of the fusion of ranks.
 K1, B, EPSILON = 1.5, 0.75, 0.25
 RRF_K, STRONG, MODERATE, NEAR, SEMANTIC = 60, 0.5, 0.2, 0.8, 0.7
 
 
+#: Documents and about the bytes of tokens in a block of the keyword index; queries in a chunk; terms that are added up at once.
+BLOCK_DOCS, BLOCK_BYTES, CHUNK, ADDED = 4096, 4 << 20, 256, 1 << 20
+
+
 @dataclass
 class KeywordIndex:
-    """tf (doc, term, tf, length), idf (term, idf) and stats (n, mean_length): tables written once and read by each search."""
+    """blocks (documents with their term counts), idf (term, idf) and stats (n, mean_length): tables written once and read by each search."""
 
-    tf: DataFrame
+    blocks: DataFrame
     idf: DataFrame
     stats: DataFrame
-    docs: DataFrame
+
+
+def rows_by_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc, tokens, length, n (rows), total (length of all rows): rows of the same id, if there are any, are one document."""
+    tokens = docs.select(docs[id_col].alias("doc"), keyword_tokens(docs[text_col]).alias("tokens")).withColumn("length", F.size("tokens").cast("long"))
+    again = written(docs.groupBy(docs[id_col].alias("again")).agg(F.count("*").alias("n")).where("n > 1").select("again"), "repeated-ids")
+    single = tokens.select("doc", "tokens", "length", F.lit(1).cast("long").alias("n"), F.col("length").alias("total"))
+    if again.isEmpty():
+        return single
+    again = sent(again, F.octet_length(F.col("again").cast("string")) + 8)
+    same = F.col("doc").eqNullSafe(F.col("again"))
+    sums = (F.flatten(F.collect_list("tokens")).alias("tokens"), F.max("length").alias("length"), F.count("*").alias("n"), F.sum("length").alias("total"))
+    return single.join(again, same, "left_anti").unionByName(tokens.join(again, same, "left_semi").groupBy("doc").agg(*sums))
+
+
+def ints(x: pa.Array) -> np.ndarray:
+    return pc.fill_null(x, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def listed(x: pa.Array | np.ndarray) -> pa.Array:
+    """All values as the list of one row."""
+    x = x if isinstance(x, pa.Array) else pa.array(x)
+    return pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+
+
+def document_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents in order of id: ids, lengths, terms and in how many documents each is; by document the number
+    of its terms, and all their numbers and counts (little-endian 32 bits)."""
+    for batch in batches:
+        tokens = batch.column("tokens")
+        many = ints(pc.list_value_length(tokens))
+        ends = np.cumsum(many)
+        held = np.cumsum(np.concatenate([[0], ints(pc.binary_length(pc.list_flatten(tokens)))]))[ends]  # bytes up to each document's end
+        first = 0
+        while first < len(many):
+            before = held[first - 1] if first else 0
+            last = max(first + 1, min(first + BLOCK_DOCS, int(np.searchsorted(held, before + BLOCK_BYTES, "right"))))
+            some = batch.slice(first, last - first)
+            some = some.take(pc.array_sort_indices(some.column("doc"), null_placement="at_start"))
+            first = last
+            own = ints(pc.list_value_length(some.column("tokens")))
+            coded = pc.list_flatten(some.column("tokens")).dictionary_encode()
+            terms, n_terms = coded.dictionary, max(1, len(coded.dictionary))
+            met, tf = np.unique(np.repeat(np.arange(len(own)), own) * n_terms + ints(coded.indices), return_counts=True)
+            doc, term = met // n_terms, met % n_terms
+            df = np.bincount(term, minlength=len(terms)).astype(np.int64)
+            often = np.argsort(-df, kind="stable")  # frequent terms get small numbers, which pack well
+            number = np.empty(len(terms), np.int64)
+            number[often] = np.arange(len(terms))
+            row = {
+                "ids": listed(some.column("doc")), "lengths": listed(ints(some.column("length"))), "terms": listed(terms.take(pa.array(often))), "df": listed(df[often]),
+                "many": listed(np.bincount(doc, minlength=len(own)).astype(np.int64)), "at": pa.array([number[term].astype("<i4").tobytes()]), "tf": pa.array([tf.astype("<i4").tobytes()]),
+                "n": pa.array([int(ints(some.column("n")).sum())]), "total": pa.array([int(ints(some.column("total")).sum())]),
+            }
+            yield pa.RecordBatch.from_pydict(row)
 
 
 def keyword_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> KeywordIndex:
     """Term counts and inverse document frequencies; a negative one becomes a quarter of the mean over all terms."""
-    tokens = docs.select(docs[id_col].alias("doc"), keyword_tokens(docs[text_col]).alias("tokens")).withColumn("length", F.size("tokens").cast("long"))
-    tokens = written(tokens, "tokens")
-    counts = tokens.select("doc", "length", F.explode("tokens").alias("term")).groupBy("doc", "term").agg(F.count("*").alias("tf"), F.any_value("length").alias("length"))
-    counts = written(counts, "postings")
-    stats = written(tokens.agg(F.count("*").alias("n"), (F.sum("length") / F.count("*")).alias("mean_length")), "stats")
-    df = counts.groupBy("term").agg(F.count("*").alias("df"))
+    rows = rows_by_id(docs, id_col, text_col)
+    schema = f"ids array<{dict(rows.dtypes)['doc']}>, lengths array<long>, terms array<string>, df array<long>, many array<long>, at binary, tf binary, n long, total long"
+    blocks = written(rows.mapInArrow(document_blocks, schema), "postings", compression="zstd")
+    stats = written(blocks.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), (F.sum("total") / F.sum("n")).alias("mean_length")), "stats")
+    df = blocks.select(F.explode(F.arrays_zip("terms", "df")).alias("t")).groupBy(F.col("t.terms").alias("term")).agg(F.sum("t.df").alias("df"))
     raw = df.join(F.broadcast(stats)).select("term", (F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)).alias("raw"))  # one row of stats
     raw = written(raw, "raw-idf")
     mean = raw.agg(F.avg("raw").alias("mean"))
     idf = raw.join(F.broadcast(mean)).select("term", F.when(F.col("raw") < 0, EPSILON * F.col("mean")).otherwise(F.col("raw")).alias("idf"))
-    return KeywordIndex(counts, idf, stats, docs.select(docs[id_col].alias("doc")))
+    return KeywordIndex(blocks, idf, stats)
+
+
+def query_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of queries: their ids, the words of all, and for each word of each query the numbers of both and the weight,
+    by word."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, CHUNK):
+            some = batch.slice(first, CHUNK)
+            parts = pc.list_flatten(some.column("parts"))
+            coded = parts.field("term").dictionary_encode()
+            word, query = ints(coded.indices), np.repeat(np.arange(some.num_rows), ints(pc.list_value_length(some.column("parts"))))
+            by = np.argsort(word, kind="stable")
+            weight = parts.field("weight").to_numpy(zero_copy_only=False).astype(np.float64)
+            yield pa.RecordBatch.from_pydict({"q_ids": listed(some.column("query_id")), "words": listed(coded.dictionary), "word": listed(word[by]), "query": listed(query[by].astype(np.int64)), "weight": listed(weight[by])})
+
+
+def block_scores(terms: pa.Array, lengths: np.ndarray, many: np.ndarray, at: np.ndarray, tf: np.ndarray, words: pa.Array, word: np.ndarray, query: np.ndarray, weight: np.ndarray, n_queries: int, mean_length: float) -> np.ndarray:
+    """Scores of each query (row) for each document of a block (column); 0 for a document without any of its terms."""
+    scores = np.zeros(n_queries * len(lengths))
+    known = pc.fill_null(pc.index_in(terms, value_set=words), -1).to_numpy(zero_copy_only=False)
+    doc, word_of = np.repeat(np.arange(len(lengths)), many), known[at]
+    hit = word_of >= 0
+    doc, word_of, tf = doc[hit], word_of[hit], tf[hit].astype(np.float64)
+    under = tf + K1 * (1 - B + B * lengths[doc] / mean_length) if len(doc) else tf
+    asking = np.bincount(word, minlength=len(words))
+    start, each = (np.cumsum(asking) - asking)[word_of], asking[word_of]
+    ends = np.cumsum(each)
+    first = 0
+    while first < len(doc):  # a bounded number of products at a time
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + ADDED, "right")))
+        own = each[first:last]
+        hits = np.repeat(np.arange(first, last), own)
+        entry = np.arange(len(hits)) - np.repeat(np.cumsum(own) - own, own) + start[hits]
+        part = weight[entry] * tf[hits] * (K1 + 1) / under[hits]
+        scores += np.bincount(query[entry] * len(lengths) + doc[hits], part, len(scores))
+        first = last
+    return scores.reshape(n_queries, len(lengths))
+
+
+def rounded(scores: np.ndarray) -> np.ndarray:
+    """Scores in units of 1e-9: what ranks are by."""
+    return np.copysign(np.floor(np.abs(scores) * 1e9 + 0.5), scores) + 0.0
+
+
+def best_of_blocks(n: int, query_type: pa.DataType, id_type: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                value = lambda name: batch.column(name)[i].values  # noqa: B023, E731
+                number = lambda name: value(name).to_numpy(zero_copy_only=False)  # noqa: B023, E731
+                at, tf = (np.frombuffer(batch.column(c)[i].as_py(), "<i4") for c in ("at", "tf"))
+                ids, asking = value("ids"), value("q_ids")
+                scores = block_scores(value("terms"), number("lengths"), number("many"), at, tf, value("words"), number("word"), number("query"), number("weight"), len(asking), batch.column("mean_length")[i].as_py())
+                order, top = rounded(scores), min(n, len(ids))
+                least = np.partition(order, len(ids) - top, axis=1)[:, len(ids) - top]
+                kept = []
+                for q in range(len(asking)):  # documents are in order of id: of equal ones the first
+                    over = np.flatnonzero(order[q] > least[q])
+                    kept.append(np.concatenate([over, np.flatnonzero(order[q] == least[q])[: top - len(over)]]))
+                docs, of = np.concatenate(kept), np.repeat(np.arange(len(asking)), top)
+                yield pa.RecordBatch.from_arrays([asking.take(pa.array(of)).cast(query_type), ids.take(pa.array(docs)).cast(id_type), pa.array(scores[of, docs]), pa.array(order[of, docs])], ["query_id", "doc", "score", "rounded"])
+
+    return run
 
 
-def keyword_scores(index: KeywordIndex, queries: DataFrame, query_id: str = "query_id", text_col: str = "text") -> DataFrame:
-    """query_id, doc, score of all documents with a term of the query; a term counts as often as the query has it.
+def keyword_search(index: KeywordIndex, queries: DataFrame, n: int = 10, query_id: str = "query_id", text_col: str = "text") -> DataFrame:
+    """query_id, doc, score, rank: the n best documents of each query, ties by id; documents without any of its terms
+    (score 0) fill up what is missing, and a term counts as often as the query has it.
 
-    Only the postings of the queries' terms are joined; the terms are pre-aggregated by query.
+    Blocks of documents meet chunks of queries, as in vector_search, and each pair gives the n best of its block: scores of
+    other documents are never rows. The blocks stay where they are, unless the queries are too large to be sent.
     """
     asked = queries.select(queries[query_id].alias("query_id"), F.explode(keyword_tokens(queries[text_col])).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("times"))
-    weighted = asked.join(index.idf, "term")
-    hit = index.tf.join(weighted, "term").join(F.broadcast(index.stats))
-    part = F.col("times") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
-    return hit.groupBy("query_id", "doc").agg(F.sum(part).alias("score"))
-
-
-def keyword_search(index: KeywordIndex, queries: DataFrame, n: int = 10, query_id: str = "query_id", text_col: str = "text") -> DataFrame:
-    """query_id, doc, score, rank: the n best documents of each query, ties by id; documents without any of its terms
-    (score 0) fill up what is missing. At most 2n first documents are candidates for that, as more cannot be needed."""
-    scores = written(keyword_scores(index, queries, query_id, text_col), "keyword-scores")  # read twice below
-    order = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "doc")
-    ids = queries.select(queries[query_id].alias("query_id")).distinct()
-    positive = scores.groupBy("query_id").agg(F.count_if(F.round("score", 9) > 0).alias("hits"))
-    short = ids.join(positive, "query_id", "left").where(F.coalesce("hits", F.lit(0)) < n).select("query_id")
-    first = index.docs.orderBy("doc").limit(2 * n + 1).agg(F.collect_list("doc").alias("firsts"))
-    fill = short.join(F.broadcast(first)).select("query_id", F.explode("firsts").alias("doc"))  # one row
-    fill = fill.join(scores.select("query_id", "doc"), ["query_id", "doc"], "left_anti").withColumn("score", F.lit(0.0))
-    return scores.unionByName(fill).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    weighted = asked.join(index.idf, "term").select("query_id", F.struct("term", (F.col("times") * F.col("idf")).alias("weight")).alias("part"))
+    none = queries.select(queries[query_id].alias("query_id"), F.lit(None).cast("struct<term:string,weight:double>").alias("part"))
+    each = weighted.unionByName(none).groupBy("query_id").agg(F.collect_list("part").alias("parts"))  # nulls are not collected
+    q_type, id_type = dict(each.dtypes)["query_id"], dict(index.blocks.dtypes)["ids"][6:-1]
+    each = each.coalesce(max(1, queries.sparkSession.sparkContext.defaultParallelism))
+    chunks = written(each.mapInArrow(query_chunks, f"q_ids array<{q_type}>, words array<string>, word array<long>, query array<long>, weight array<double>"), "queries")
+    blocks = index.blocks.drop("df", "n", "total").join(F.broadcast(index.stats.select("mean_length")))  # one row
+    pairs = paired(blocks, chunks, 24 * F.size("word") + 40 * F.size("words") + 40 * F.size("q_ids"))
+    types = (to_arrow_type(t) for t in (each.schema["query_id"].dataType, index.blocks.schema["ids"].dataType.elementType))
+    found = pairs.mapInArrow(best_of_blocks(max(1, n), *types), f"query_id {q_type}, doc {id_type}, score double, rounded double")
+    order = Window.partitionBy("query_id").orderBy(F.col("rounded").desc(), "doc")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop("rounded")
+
+
+def paired(blocks: DataFrame, chunks: DataFrame, n_bytes: Column) -> DataFrame:
+    """Each block with each chunk: chunks of few bytes are sent to the blocks; else blocks are spread over slices, each with
+    all chunks."""
+    small = sent(chunks, n_bytes)
+    if small is not chunks:
+        return blocks.join(small)
+    spark = blocks.sparkSession
+    slices = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = blocks.withColumn("slice", F.pmod(F.xxhash64("at"), F.lit(slices)).cast("int"))
+    return spread.join(chunks.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))), "slice").drop("slice")
 
 
 def distance(a: Column, b: Column, metric: str) -> Column:

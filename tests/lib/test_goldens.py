@@ -1,6 +1,8 @@
 """Hand goldens and scalar specifications of the library's operators."""
 
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from folioworks.functions import models, scalar
 from folioworks.functions import text as X
 from folioworks.operators import chunkers, guided, search, sections, semantic, stats
+from folioworks.sources import scratch
 
 T = "Alpha beta gamma delta. Epsilon zeta eta theta.\n\nIota kappa lambda mu nu xi. Omicron pi rho sigma tau upsilon phi chi psi omega.\nLast line here."
 P = "Paragraph one has forty characters here..\n\nParagraph two has forty characters here..\n\nParagraph three also has forty characters.\n\nLong first sentence that keeps going for a while now. Second sentence that is also quite long indeed. Third one ends."
@@ -188,6 +191,42 @@ def test_keyword_search_fills_up(spark):
     assert got[0, 1] == (1, True) and got[0, 2] == (2, False) and got[1, 1] == (1, False) and got[2, 1] == (5, True) and len(got) == 9
 
 
+def brute_bm25(docs, asked):
+    """Scores of all documents (rows of an id are one) for each query, in order of rank."""
+    words = lambda t: re.findall(r"\w+", (t or "").lower())
+    each, length = {}, {}
+    for i, t in docs:
+        each[i] = each.get(i, []) + words(t)
+        length[i] = max(length.get(i, 0), len(words(t)))
+    n, mean = len(docs), sum(len(words(t)) for _, t in docs) / len([t for _, t in docs])
+    df = Counter(w for ws in each.values() for w in set(ws))
+    raw = {w: math.log(n - k + 0.5) - math.log(k + 0.5) for w, k in df.items()}
+    idf = {w: 0.25 * sum(raw.values()) / len(raw) if x < 0 else x for w, x in raw.items()}
+    part = lambda w, i: idf[w] * each[i].count(w) * 2.5 / (each[i].count(w) + 1.5 * (0.25 + 0.75 * length[i] / mean))
+    scores = {q: {i: sum(part(w, i) for w in words(t) if w in each[i]) for i in each} for q, t in asked}
+    return {q: sorted(s.items(), key=lambda x: (-round(x[1], 9), x[0])) for q, s in scores.items()}
+
+
+@pytest.mark.parametrize("small_side", [32 << 20, 0])
+def test_keyword_search_writes_no_row_for_each_pair(spark, monkeypatch, small_side):
+    """The n best of many documents with a common word, as by brute force, without a table of all their scores."""
+    rng, sizes = np.random.default_rng(3), {}
+    word = lambda: f"w{int(rng.zipf(1.4)) % 60}"
+    docs = [(f"d{i}", "common " + " ".join(word() for _ in range(rng.integers(0, 12)))) for i in range(300)]
+    docs += [("d7", docs[7][1]), ("d8", docs[8][1]), ("e1", None), ("e2", ""), ("e3", "common " * 500)]
+    asked = [(q, "common Common " + " ".join(word() for _ in range(5))) for q in range(30)] + [(98, ""), (99, "unheard")]
+    keep = lambda df, name, **more: sizes.update({name: (out := scratch.written(df, name, **more)).count()}) or out
+    monkeypatch.setattr(scratch, "SMALL_SIDE", small_side)
+    monkeypatch.setattr(search, "written", keep)
+    table = spark.createDataFrame(docs, "doc_id string, text string").repartition(5)
+    found = search.keyword_search(search.keyword_index(table), spark.createDataFrame(asked, "query_id long, text string"), 12)
+    got = {(r.query_id, r["rank"]): (r.doc, round(r.score, 9)) for r in found.collect()}
+    want = {(q, k + 1): (i, round(s, 9)) for q, all_ in brute_bm25(docs, asked).items() for k, (i, s) in enumerate(all_[:12])}
+    assert {k: i for k, (i, _) in got.items()} == {k: i for k, (i, _) in want.items()}
+    assert all(abs(got[k][1] - want[k][1]) < 2e-9 for k in want)
+    assert max(sizes.values()) < len(docs)
+
+
 def test_vector_edges(spark):
     table = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0]), (3, None), (4, [1.0, 0.0])], "vec_id long, embedding array<double>")
     asked = spark.createDataFrame([(0, [1.0, 0.0]), (1, None)], "query_id int, embedding array<double>")
