@@ -330,6 +330,7 @@ def hybrid_search(index: KeywordIndex, docs: DataFrame, vectors: DataFrame, quer
     if key != "text":
         return found
     found = written(found, "fused")
-    first = by_id.join(found.select("doc_key").distinct(), "doc_key").groupBy("doc_key").agg(F.min("id").alias("doc_id"))
+    first = written(by_id.join(found.select("doc_key").distinct(), "doc_key").groupBy("doc_key").agg(F.min("id").alias("doc_id")), "first-rows")
+    first = sent(first, F.octet_length("doc_key") + 40)  # else all texts are shuffled
     texts = docs.select("doc_id", "text").join(first, "doc_id").groupBy("doc_key").agg(F.any_value("text").alias("text"))
     return found.join(texts, "doc_key").select("query_id", F.col("text").alias("doc_key"), "score", "rank")
