@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioworks.functions.models import AnswerModel, Embedder, answers, embed
 from folioworks.functions.text import prompt_text
 from folioworks.operators.search import KeywordIndex, hybrid_search
+from folioworks.sources.scratch import written
 
 
 def embedded(chunks: DataFrame, embedder: Embedder | None = None) -> DataFrame:
@@ -24,7 +25,7 @@ def contexts(retrieved: DataFrame) -> DataFrame:
 def answer(index: KeywordIndex, docs: DataFrame, vectors: DataFrame, questions: DataFrame, n: int = 100, model: AnswerModel | None = None, metric: str = "sql2") -> DataFrame:
     """query_id, question, answer, retrieved: questions (query_id, text, embedding, history) answered from the documents
     that hybrid search finds. A question without any gets a fixed answer and never reaches the model."""
-    found = contexts(hybrid_search(index, docs, vectors, questions, n, metric))
+    found = written(contexts(hybrid_search(index, docs, vectors, questions, n, metric)), "retrieved")  # read twice below
     rows = questions.join(found, "query_id", "left")
     past = F.col("history") if "history" in questions.columns else F.array().cast("array<struct<role:string,text:string>>")
     some = rows.where("retrieved is not null").withColumn("prompt", prompt_text(F.transform("retrieved", lambda r: r["content"]), past, F.col("text")))
