@@ -157,6 +157,38 @@ def test_rules_as_by_brute_force(spark, base):
     assert {i: v for i, (v, _) in got.items()} == {i: "block" if any(r <= tokens_of(u) for r in rules) else "allow" for i, u in enumerate(urls)}
 
 
+@pytest.mark.parametrize("max_items", [12, 100])
+def test_pages_of_many_items_lose_none(spark, max_items):
+    """A rule of two tokens that do not divide at all alone, in pages of 16 more: as by all combinations, by both growths."""
+    rng, urls, bad = np.random.default_rng(8), [], []
+    n_more = 16 if max_items == 12 else 8  # all combinations of 16 are too many for the plain growth
+    for i in range(320):
+        u, v = i % 2, i // 2 % 2
+        more = "&".join(f"q{chr(97 + j)}=1" for j in range(n_more) if rng.random() < 0.95)
+        urls.append(f"x://h?{'u=1&' * u}{'v=1&' * v}{more}")
+        bad.append(u == v)
+    pages = spark.createDataFrame([(i, x) for i, x in enumerate(urls)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if b else 1, 0) for i, b in enumerate(bad)], "doc_id long, quality int, toxic int")
+    tokens = [tokens_of(x) for x in urls]
+    masks = {t: sum(1 << i for i, x in enumerate(tokens) if t in x) for t in set().union(*tokens)}
+    bad_mask, rules = sum(1 << i for i, b in enumerate(bad) if b), []
+
+    def grow(chosen, mask, rest):
+        n, m = mask.bit_count(), (mask & bad_mask).bit_count()
+        if m < 30:
+            return
+        if chosen and m >= 0.6 * n and (n - m) * 1.5 <= 0.5 * n:
+            rules.append(mask)
+            return
+        for k, t in enumerate(rest):
+            grow([*chosen, t], mask & masks[t], rest[k + 1 :])
+
+    grow([], (1 << len(urls)) - 1, sorted(masks))
+    want = [i for i in range(len(urls)) if any(r >> i & 1 for r in rules)]
+    got = {r.page_id for r in url_filter(pages, labels, rules=[], min_count=30, max_items=max_items).collect() if r.verdict == "block"}
+    assert got == set(want) and set(range(3, 320, 4)) <= got
+
+
 def test_many_shared_parameters_end(spark):
     """18 parameters that all pages share, and 18 that most have, are mined in a moment; long tokens count whole."""
     rng = np.random.default_rng(5)
