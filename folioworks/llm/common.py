@@ -49,6 +49,13 @@ def release(spark: SparkSession) -> None:
         spark._jvm.System.gc()
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Let the driver drop the plans and tasks of steps that are over, between steps that run many small tasks; else its heap
+    grows to all it may have, beside the memory of its Python."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the bytes that df gives; no job runs."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_scratch, through_scratch
+from .common import collect_garbage, drop_scratch, through_scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -32,6 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
         both = through_scratch(small.where("u <> v"), "star", made)
         drop_scratch(edges.sparkSession, made.pop(0))  # the step before, which nothing reads any more
+        del each, least, large, small
+        collect_garbage(edges.sparkSession)
         now = mark(both)
         if now == seen:
             break

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_texts, through_scratch
+from .common import collect_garbage, doc_texts, through_scratch
 from .graph import components
 from .simhash_dedup import SEED, keep_smallest, links, shingles, simhash
 
@@ -127,11 +127,13 @@ def shingle_links(docs: DataFrame, prints: DataFrame, known: DataFrame, similari
     keyed = through_scratch(nodes.select("node", "size", F.explode("keys").alias("key")), "near-keys")
     counts = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min_by(F.struct("node", "size"), F.xxhash64("node", "key")).alias("centre")).where("n > 1")
     met = through_scratch(keyed.join(counts, "key"), "near-met")
+    collect_garbage(docs.sparkSession)
 
     ids = prints.join(met.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("met_id")).distinct()
     texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["met_id"]), "left_semi").select("text")
     sets = through_scratch(texts.mapInArrow(with_sets, "node long, bits array<long>, hashes array<long>"), "near-sets")
     sets = through_scratch(sets.groupBy("node").agg(F.any_value("bits").alias("bits"), F.any_value("hashes").alias("hashes")), "near-sets")
+    collect_garbage(docs.sparkSession)
 
     small, large = met.where(F.col("n") <= hot), met.where(F.col("n") > hot)
     left, right = (small.select("key", F.col("node").alias(c), F.col("size").alias("s" + c)) for c in "ab")
@@ -139,6 +141,7 @@ def shingle_links(docs: DataFrame, prints: DataFrame, known: DataFrame, similari
     stars = large.where((F.col("node") != F.col("centre.node")) & sizes_fit(F.col("size"), F.col("centre.size"), similarity))
     stars = stars.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
     first = verified(through_scratch(pairs.unionByName(stars).distinct(), "near-pairs"), sets, similarity)
+    collect_garbage(docs.sparkSession)
     if large.isEmpty():
         return first
 
@@ -149,6 +152,7 @@ def shingle_links(docs: DataFrame, prints: DataFrame, known: DataFrame, similari
     main = held.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots")).where("roots > 1")
     open_ = rooted.join(main, "key").join(sets, "node")
     open_ = through_scratch(open_, "near-open")
+    collect_garbage(docs.sparkSession)
     names = ["node", "size", "root", "bits", "hashes"]
     left, right = (rows.select("key", "main", *(F.col(c).alias(c + side) for c in names)) for rows, side in ((open_.where("root <> main"), "_a"), (open_, "_b")))
     once = (F.col("root_b") == F.col("main")) | (F.col("node_a") < F.col("node_b"))
@@ -168,6 +172,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = both.groupBy("fp").agg(F.min("node").alias("node"))
     equal = both.join(first.select("fp", F.col("node").alias("a")), "fp").where("a <> node").select("a", F.col("node").alias("b"))
     known = through_scratch(links(first).where("a <> b").unionByName(equal), "near-known")
+    collect_garbage(docs.sparkSession)
     found = components(known.unionByName(shingle_links(texts, prints, known, similarity, hot)))
     classes = prints.groupBy("node").agg(F.min("doc_id").alias("least"))
     rooted = classes.join(found, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
